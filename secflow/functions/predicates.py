@@ -69,5 +69,5 @@ def condition_holds(op: Column, field_value: Column, rule_value: Column) -> Colu
     """Atom of a condition expression; here the field is on the left."""
     x, v = F.lower(field_value), F.lower(rule_value)
     return F.coalesce(
-        F.when(op == "0", x == v).when(op == "1", x > v).when(op == "2", x < v).otherwise(F.lit(True)),
+        F.when(op == "0", x == v).when(op == "1", x > v).when(op == "2", x < v).otherwise(F.lit(False)),
         F.lit(False))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # A rule base up to this many rows is compiled into literal expressions.
@@ -41,3 +41,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so that lost executors cannot reorder the rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def evaluated_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column behind a one-element explode.
+
+    Filters on the column then stay above it; on a plain projection they would be pushed below and
+    evaluate the expression a second time.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
