@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from secflow.functions.text import ip_in_any, stable_id
-from secflow.plans.physical import broadcast_if_bounded
+from secflow.functions.text import ip_to_long, number_in_any, stable_id
+from secflow.plans.physical import broadcast_if_bounded, evaluated_once
 
 # Monitored address ranges.
 MONITORED_RANGES = [
@@ -21,11 +21,20 @@ MONITORED_RANGES = [
 SIGHTING_ORDER = ["record_time", "port", "protocol", "packets"]
 
 
+def in_ranges(rows: DataFrame, ip: str, ranges: list[str] = MONITORED_RANGES) -> DataFrame:
+    """Rows whose address lies in a range, with the address as ``ip_number``."""
+    numbered = evaluated_once(rows, "ip_number", ip_to_long(F.col(ip)))
+    return numbered.where(number_in_any(F.col("ip_number"), ranges))
+
+
 def flows_in_ranges(flows: DataFrame, ranges: list[str] = MONITORED_RANGES) -> DataFrame:
     """Flows with a monitored end, and which end: the source counts first."""
-    src, dst = ip_in_any(F.col("srcip"), ranges), ip_in_any(F.col("dstip"), ranges)
-    side = F.when(src, "src").when(dst, "dst")
-    return flows.withColumn("side", side).where("side is not null")
+    both = F.struct(ip_to_long(F.col("srcip")).alias("src"), ip_to_long(F.col("dstip")).alias("dst"))
+    numbered = evaluated_once(flows, "ends", both)
+    side = (
+        F.when(number_in_any(F.col("ends.src"), ranges), "src")
+        .when(number_in_any(F.col("ends.dst"), ranges), "dst"))
+    return evaluated_once(numbered, "side", side).where("side is not null").drop("ends")
 
 
 def sightings(flows: DataFrame, ranges: list[str] = MONITORED_RANGES) -> DataFrame:

@@ -158,20 +158,21 @@ def leak_flags(events: DataFrame, scans: DataFrame, cve: str = "cve") -> DataFra
     Scans are reduced to distinct keys first, so each lookup keeps one row per event.
     """
     ip = F.lower("ne_ip")
+    scan_keys = {
+        "has_leak": F.lit(""),
+        "has_cve": F.concat(F.lit("cve "), F.lower("leak_cve")),
+        "has_port": F.concat(F.lit("port "), F.lower(F.col("leak_port").cast("string")))}
+    event_keys = {
+        "has_leak": F.lit(""),
+        "has_cve": F.concat(F.lit("cve "), F.lower(cve)),
+        "has_port": F.concat(F.lit("port "), F.lower("dest_port"))}
+    known = broadcast_if_bounded(
+        scans.select(ip.alias("_ip"), F.explode(F.array(*scan_keys.values())).alias("_key"))
+        .where("_ip is not null and _key is not null").distinct().withColumn("_known", F.lit(True)))
     result = events
-    keys = {
-        "has_leak": [],
-        "has_cve": [(F.lower("leak_cve"), F.lower(cve))],
-        "has_port": [(F.lower(F.col("leak_port").cast("string")), F.lower("dest_port"))],
-    }
-    for flag, extra in keys.items():
-        known = scans.select(ip.alias("_ip"), *[k.alias(f"_k{i}") for i, (k, _) in enumerate(extra)]).distinct()
-        known = broadcast_if_bounded(known.withColumn(flag, F.lit(True)))
-        on = F.lower("dest_ip") == F.col("_ip")
-        for i, (_, value) in enumerate(extra):
-            on = on & (value == F.col(f"_k{i}"))
-        result = result.join(known, on, "left").drop("_ip", "_k0")
-        result = result.withColumn(flag, F.coalesce(flag, F.lit(False)))
+    for flag, key in event_keys.items():
+        result = result.join(known, (F.lower("dest_ip") == F.col("_ip")) & (key == F.col("_key")), "left")
+        result = result.withColumn(flag, F.coalesce("_known", F.lit(False))).drop("_ip", "_key", "_known")
     return result
 
 
@@ -219,17 +220,17 @@ def asset_holds(rule) -> Column:
 def condition_match(events: DataFrame, flow_rules: DataFrame) -> DataFrame:
     """(event, rule) pairs whose condition expression holds; blank expressions always do."""
     packed = _flow_rules(flow_rules).agg(F.collect_list(F.struct("med_id", "rule_id", "atoms")).alias("rules"))
-    tested = events.withColumn("rules", packed.scalar()).withColumn("values", _condition_values(""))
+    tested = events.withColumn("rules", packed.scalar()).withColumn("values", _condition_values())
     held = F.filter("rules", lambda r: F.forall(r["atoms"], lambda a: _atom_holds(a, F.col("values"))))
     return tested.select("event_result_id", F.explode(held).alias("r")).select(
         "event_result_id", F.col("r.med_id").alias("med_id"), F.col("r.rule_id").alias("rule_id"))
 
 
-def _condition_values(prefix: str) -> Column:
+def _condition_values() -> Column:
     names = sorted(CONDITION_FIELDS)
     return F.map_from_arrays(
         F.array(*[F.lit(n) for n in names]),
-        F.array(*[F.coalesce(F.col(prefix + RULE_FIELDS[n]), F.lit(" ")) for n in names]))
+        F.array(*[F.coalesce(F.col(RULE_FIELDS[n]), F.lit(" ")) for n in names]))
 
 
 def _atom_holds(atom: Column, values: Column) -> Column:
@@ -348,7 +349,15 @@ def _sub_floor(values: Column):
     return floor
 
 
-_EVENT_COLUMNS = ["event_result_id", "event_rule_id", "source_ip", "source_port", "dest_ip", "dest_port"]
+_ADDRESS = ["source_ip", "source_port", "dest_ip", "dest_port"]
+_LOGGED = ["event_level", "app_proto", "url", "get_parameter", "proto", "open_time"]
+
+
+def _flow_detail() -> Column:
+    """What a composite keeps of a flow-derived event; NULL for others, which keep nothing."""
+    return F.when(F.col("log.report_app") == FLOW_APP, F.struct(
+        F.col("event_rule_id").alias("event_rule_id"), F.col("log.event_name").alias("event_rule_name"),
+        *_ADDRESS, *[F.col(f"log.{c}").alias(c) for c in _LOGGED]))
 
 
 def definition_floors(
@@ -358,11 +367,14 @@ def definition_floors(
 
     The floor is NULL where no counter is reached, since a composite needs events behind it.
     """
-    hit = event_hits(events, rules, strict)
-    hit = flow_asof(intel_flag(leak_flags(hit, context.scans, cve), context.intel), context.flow_stats)
+    # only what later steps read is carried through the sorts
+    hit = event_hits(events, rules, strict).select(
+        "event_result_id", *_ADDRESS, "open_time", "hits", F.col(cve).alias("cve"),
+        _flow_detail().alias("flow_detail"))
+    hit = flow_asof(intel_flag(leak_flags(hit, context.scans), context.intel), context.flow_stats)
     by_def = hit.select(
-        *_EVENT_COLUMNS, F.col("open_time").alias("ts"), "hits", "log", "has_leak", "has_cve", "has_port",
-        "in_intel", "stat_time", "stat_bytes",
+        "event_result_id", *_ADDRESS, F.col("open_time").alias("ts"), "hits", "flow_detail",
+        "has_leak", "has_cve", "has_port", "in_intel", "stat_time", "stat_bytes",
         F.explode(F.array_distinct(F.transform("hits", lambda h: h["def_id"]))).alias("def_id"))
     numbered = running(
         by_def, ["def_id"], ["ts", "event_result_id"], "pos",
@@ -383,11 +395,11 @@ def definition_floors(
     ).drop("_fdef", "_fevent")
     ruled = joined.join(
         broadcast_if_bounded(definition_rules(rules, context).withColumnRenamed("def_id", "_rdef")),
-        F.col("def_id") == F.col("_rdef")).withColumn("values", _condition_values("log."))
+        F.col("def_id") == F.col("_rdef")).withColumn("values", _condition_values())
     folded = fold_subs(F.col("subs"), _sub_floor(F.col("values")))
     floor = F.when(F.col("reached").isNotNull(), F.least(folded, F.col("reached")))
     return ruled.select(
-        "def_id", "def_name", *_EVENT_COLUMNS, "ts", "pos", "log",
+        "def_id", "def_name", "event_result_id", "ts", "pos", "flow_detail",
         F.when(floor > NEVER, floor).alias("floor"))
 
 
@@ -403,15 +415,9 @@ def composite_events(floors: DataFrame) -> DataFrame:
 
 def composite_rows(chained: DataFrame) -> DataFrame:
     """Composite records; flow-derived ones also carry columns of the event and its log."""
-    flow = F.col("log.report_app") == FLOW_APP
-    only_flow = lambda c, name: F.when(flow, c).alias(name)
-    copied = ["source_ip", "source_port", "dest_ip", "dest_port"]
-    logged = ["event_level", "app_proto", "url", "get_parameter", "proto", "open_time"]
     return chained.where("fired").select(
         _composite_id().alias("record_id"), F.col("def_id").alias("me_def_id"), F.col("def_name").alias("name"),
-        F.col("ts").alias("storage_time"),
-        only_flow(F.col("event_rule_id"), "event_rule_id"), only_flow(F.col("log.event_name"), "event_rule_name"),
-        *[only_flow(F.col(c), c) for c in copied], *[only_flow(F.col(f"log.{c}"), c) for c in logged])
+        F.col("ts").alias("storage_time"), "flow_detail.*")
 
 
 def _composite_id() -> Column:
@@ -454,7 +460,7 @@ def intel_matches(flagged: DataFrame, intel_rules: DataFrame) -> DataFrame:
 
 def flow_matches(seen: DataFrame, flow_rules: DataFrame) -> DataFrame:
     """(event, traffic rule) pairs of events with their latest statistic."""
-    values = _condition_values("")
+    values = _condition_values()
     return _matches(
         seen.where("stat_time is not null").withColumn("values", values), _flow_rules(flow_rules),
         ["med_id", "rule_id", "seconds", "flow_limit", "atoms"], lambda r: flow_holds(r, F.col("values")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,8 +121,9 @@ def user_events(
                 test = test & literal_condition(c.field, c.method, c.begin_value, c.end_value, strict)
             number = number.when(test, F.lit(n))
         names = ("event_rule_id", "event_rule_name", "event_rule_level")
-        rule = F.get(
-            F.array(*[F.struct(*[F.lit(r[c]).cast("string").alias(c) for c in names]) for r in rows]), F.col("rule_no"))
+        table = json.dumps([{c: r[c] for c in names} for r in rows])
+        constants = F.from_json(F.lit(table), "array<struct<" + ",".join(f"{c}:string" for c in names) + ">>")
+        rule = F.get(constants, F.col("rule_no"))
         matched = evaluated_once(logs, "rule_no", number).where("rule_no is not null").withColumn("rule", rule)
     matched = matched.where("rule is not null")
     return _event(

@@ -8,6 +8,8 @@ an ordered array of rules per device address.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,7 @@ from secflow.schemas import CAPTURES, GENERAL_FIELDS, USER_GENERAL_FIELDS
 
 _RULE_CONSTANTS = ["log_rule_id", "event_def_id", "event_level", "report_ne_type", "event_id"]
 _HIT = "struct<rule_ord:bigint," + "".join(f"{c}:string," for c in _RULE_CONSTANTS) + "captures:array<string>>"
+_RULE = "struct<rule_ord:bigint,regex:string,idx:array<int>," + ",".join(f"{c}:string" for c in _RULE_CONSTANTS) + ">"
 _COMPILED = "struct<whole:string,template:string,idx:array<int>,group_count:int>"
 
 
@@ -40,15 +43,17 @@ def _compile(regex):
     return c.whole, c.template, c.indexes, c.count
 
 
-def _singly(content: Column, regex: Column, indexes: list[Column]) -> Column:
-    """Captures group by group, for text that holds the separator of the one-pass form."""
-    extract = lambda i: F.call_function("regexp_extract", content, regex, F.greatest(i, F.lit(0)))
-    return F.array(*[F.when(i >= 0, extract(i)).otherwise(F.lit("")) for i in indexes])
+def _captures(content: Column, one_pass: Column, rule: str) -> Column:
+    """Captures of the one-pass form, or group by group for text that itself holds the separator."""
+    extract = lambda i: F.call_function("regexp_extract", content, F.col(f"{rule}.regex"), i)
+    singly = F.transform(F.col(f"{rule}.idx"), lambda i: F.when(i >= 0, extract(i)).otherwise(F.lit("")))
+    return F.when(F.contains(content, F.lit(MARK)), singly).otherwise(one_pass)
 
 
-def _looked_up(values: list, number: Column, kind: str) -> Column:
-    """Constant of the rule with this number; NULL for no rule."""
-    return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), number)
+def _hit(rule: str, captures: Column) -> Column:
+    return F.struct(
+        F.col(f"{rule}.rule_ord").alias("rule_ord"), *[F.col(f"{rule}.{c}").alias(c) for c in _RULE_CONSTANTS],
+        captures.alias("captures"))
 
 
 def _compiled_match(logs: DataFrame, rules: list, device_scoped: bool) -> DataFrame:
@@ -68,22 +73,17 @@ def _compiled_match(logs: DataFrame, rules: list, device_scoped: bool) -> DataFr
             chosen = chosen.when(F.trim("report_ip") == F.lit(device), chain)
     else:
         chosen = by_device[""]
-    matched = evaluated_once(logs, "rule_no", chosen)
-
-    number = F.col("rule_no")
-    captures = F
-    for n, (_, pattern) in enumerate(compiled):
-        replaced = F.regexp_replace(content, F.lit(pattern.whole), F.lit(pattern.template))
-        captures = captures.when(number == n, F.split(replaced, MARK))
-    regex = _looked_up([p.regex for _, p in compiled], number, "string")
-    indexes = [
-        _looked_up([p.indexes[i] for _, p in compiled], number, "int") for i in range(len(CAPTURES))]
-    captures = F.when(F.contains(content, F.lit(MARK)), _singly(content, regex, indexes)).otherwise(captures)
-    hit = F.struct(
-        _looked_up([r.rule_ord for r, _ in compiled], number, "long").alias("rule_ord"),
-        *[_looked_up([r[c] for r, _ in compiled], number, "string").alias(c) for c in _RULE_CONSTANTS],
-        captures.alias("captures"))
-    return matched.withColumn("hit", hit).drop("rule_no")
+    table = [{
+        "rule_ord": r.rule_ord, "regex": p.regex, "idx": p.indexes, **{c: r[c] for c in _RULE_CONSTANTS},
+    } for r, p in compiled]
+    # the rule table is one constant, looked up by number
+    constants = F.from_json(F.lit(json.dumps(table)), f"array<{_RULE}>")
+    matched = evaluated_once(logs, "rule_no", chosen).withColumn("rule", F.get(constants, F.col("rule_no")))
+    one_pass = F
+    for n, (_, p) in enumerate(compiled):
+        replaced = F.regexp_replace(content, F.lit(p.whole), F.lit(p.template))
+        one_pass = one_pass.when(F.col("rule_no") == n, F.split(replaced, MARK))
+    return matched.withColumn("hit", _hit("rule", _captures(content, one_pass, "rule"))).drop("rule_no", "rule")
 
 
 def _array_match(logs: DataFrame, rules: DataFrame, device_scoped: bool) -> DataFrame:
@@ -98,11 +98,7 @@ def _array_match(logs: DataFrame, rules: DataFrame, device_scoped: bool) -> Data
     first = F.get(F.filter("rules", lambda r: F.rlike(content, r["regex"])), F.lit(0))
     matched = evaluated_once(logs, "rule", first).drop("rules")
     one_pass = F.split(F.regexp_replace(content, F.col("rule.whole"), F.col("rule.template")), MARK)
-    singly = _singly(content, F.col("rule.regex"), [F.get("rule.idx", F.lit(i)) for i in range(len(CAPTURES))])
-    hit = F.struct(
-        F.col("rule.rule_ord").alias("rule_ord"), *[F.col(f"rule.{c}").alias(c) for c in _RULE_CONSTANTS],
-        F.when(F.contains(content, F.lit(MARK)), singly).otherwise(one_pass).alias("captures"))
-    return matched.withColumn("hit", hit).drop("rule")
+    return matched.withColumn("hit", _hit("rule", _captures(content, one_pass, "rule"))).drop("rule")
 
 
 def match_rules(

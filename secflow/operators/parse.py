@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secflow.functions.text import parse_time, split_fields, stable_id
+from secflow.plans.physical import evaluated_once
 
 _MAP = "map<string,string>"
 
@@ -22,7 +23,7 @@ def raw_parse(lines: DataFrame, value: str = "value", identity: Column | None =
     fields = split_fields(line, "~", 9)
     short = F.size(fields) <= 6
     padded = F.when(short, F.concat(F.array(generated), fields)).otherwise(fields)
-    parts = lines.where(F.contains(line, F.lit("~"))).select(padded.alias("f"))
+    parts = evaluated_once(lines.where(F.contains(line, F.lit("~"))), "f", padded)
     item = lambda i: F.get("f", F.lit(i))
     return parts.where(F.size("f") > 6).select(
         item(0).alias("log_id"),
@@ -35,13 +36,18 @@ def raw_parse(lines: DataFrame, value: str = "value", identity: Column | None =
     )
 
 
-def _lower_keys(m: Column) -> Column:
-    # later duplicates win, as they do when keys are rewritten one after another
-    entries = F.map_entries(m)
-    names = F.transform(entries, lambda e: F.lower(e["key"]))
-    last = F.filter(
-        entries, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), F.lower(e["key"])))
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(F.lower(e["key"]), e["value"])))
+def _lower_keys_with_id(flows: DataFrame, key: str) -> DataFrame:
+    """Keys of ``raw`` in lower case plus the record id under ``key``; of keys that collide the last wins."""
+    named = flows.select(
+        "record_id", "raw", F.transform(F.map_keys("raw"), F.lower).alias("names"), F.map_values("raw").alias("vals"))
+    plain = (F.size(F.array_distinct("names")) == F.size("names")) & ~F.array_contains("names", key)
+    joined = F.map_from_arrays(F.array_append("names", F.lit(key)), F.array_append("vals", F.col("record_id")))
+    pairs = F.arrays_zip("names", "vals")
+    last = F.filter(pairs, lambda e, i: (e["names"] != key) & ~F.array_contains(
+        F.slice("names", i + 2, F.size("names")), e["names"]))
+    own = F.array(F.struct(F.lit(key).alias("names"), F.col("record_id").alias("vals")))
+    return named.select(
+        "record_id", F.when(plain, joined).otherwise(F.map_from_entries(F.concat(last, own))).alias("flow"))
 
 
 def flow_json_explode(messages: DataFrame, value: str = "value", identity: Column | None = None) -> DataFrame:
@@ -51,10 +57,7 @@ def flow_json_explode(messages: DataFrame, value: str = "value", identity: Colum
         source.alias("source"),
         F.posexplode(F.from_json(value, f"array<{_MAP}>")).alias("position", "raw"))
     record_id = stable_id("flow", F.col("source"), F.col("position"))
-    others = F.map_filter(_lower_keys(F.col("raw")), lambda k, v: k != "recordid")
-    return flows.select(
-        record_id.alias("record_id"),
-        F.map_concat(others, F.create_map(F.lit("recordid"), record_id)).alias("flow"))
+    return _lower_keys_with_id(flows.select(record_id.alias("record_id"), "raw"), "recordid")
 
 
 def appflow_line_parse(lines: DataFrame, value: str = "value", identity: Column | None = None) -> DataFrame:
@@ -63,13 +66,11 @@ def appflow_line_parse(lines: DataFrame, value: str = "value", identity: Column
     The id key keeps its historical spelling ``recrodid``.
     """
     record_id = stable_id("appflow", identity if identity is not None else F.col(value))
-    body = F.array_join(F.slice(F.split(value, " "), 2, F.length(value) + 1), "")
-    parsed = lines.select(record_id.alias("record_id"), body.alias("body")).where(F.col("body") != "")
-    parsed = parsed.select("record_id", F.from_json("body", _MAP).alias("raw")).where("raw is not null")
-    others = F.map_filter(_lower_keys(F.col("raw")), lambda k, v: k != "recrodid")
-    return parsed.select(
-        "record_id",
-        F.map_concat(others, F.create_map(F.lit("recrodid"), F.col("record_id"))).alias("flow"))
+    first = F.instr(value, " ")
+    body = F.when(first > 0, F.replace(F.substr(F.col(value), first + 1), F.lit(" "), F.lit("")))
+    raw = F.from_json(F.when(body != "", body), _MAP)
+    parsed = evaluated_once(lines.select(F.col(value), record_id.alias("record_id")), "raw", raw)
+    return _lower_keys_with_id(parsed.where("raw is not null"), "recrodid")
 
 
 def flow_fields(flows: DataFrame, *names: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -30,7 +30,10 @@ def running(
     or 0. ``order`` must be unique within a key for the numbers to be reproducible.
     """
     maxima, last_where = maxima or {}, last_where or {}
-    placed = checkpointed(df.sort(*keys, *order).withColumn("_place", F.monotonically_increasing_id()))
+    # the hash shuffle settles the rows, so that the sampling of the range sort does not run the
+    # plan above it a second time
+    settled = df.repartition(*keys, *order)
+    placed = checkpointed(settled.sort(*keys, *order).withColumn("_place", F.monotonically_increasing_id()))
     placed = placed.withColumn("_part", F.shiftright("_place", _PARTITION_BITS))
     # one row per (key, partition): at most the partitions plus the keys, whatever the row count
     runs = placed.groupBy(*keys, "_part").agg(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 # A rule base up to this many rows is compiled into literal expressions.
 COMPILE_ROWS = 400
-# A dimension up to this many rows is broadcast; beyond it Spark picks the join.
+# A dimension up to this size is broadcast; beyond it Spark picks the join.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def collect_bounded(df: DataFrame, max_rows: int) -> list[Row] | None:
@@ -19,9 +20,18 @@ def collect_bounded(df: DataFrame, max_rows: int) -> list[Row] | None:
     return rows if len(rows) <= max_rows else None
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the counted size allows it; otherwise the plain frame."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_bounded(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """A side to broadcast when its measured size allows it; otherwise the plain frame.
+
+    The rows are fetched once, up to the limit, and the join then reads them as a local table: a
+    broadcast would pass them through the driver too, and the frame is not computed a second time.
+    """
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows or table.nbytes > max_bytes:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from secflow.functions.text import ip_in_any, ip_to_long, name_tokens
+from secflow.functions.text import name_tokens
 from secflow.operators import alarms, assets, clusters, correlate, events, normalize, parse, profile, threshold
 from secflow.plans.tables import composite_rules, context, corr_events, frame
 from secflow.sources import readers, rules, sinks
@@ -243,9 +243,8 @@ def appflow_line_parse(spark, sf_dir):
 
 @query
 def ip_range_filter(spark, sf_dir):
-    flows = frame(spark, sf_dir, "netflow")
-    return flows.where(ip_in_any(F.col("srcip"), assets.MONITORED_RANGES)).select(
-        "srcip", ip_to_long(F.col("srcip")).alias("src_number"), "dstip", "srcport", "start_time")
+    return assets.in_ranges(frame(spark, sf_dir, "netflow"), "srcip").select(
+        "srcip", F.col("ip_number").alias("src_number"), "dstip", "srcport", "start_time")
 
 
 @query
