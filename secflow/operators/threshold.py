@@ -61,28 +61,33 @@ def running(
     return result.select(*df.columns, number, *maxima, *last_where)
 
 
-def threshold_fire(
-    hits: DataFrame, key: str, ts: str, event: str, n: str = "n", seconds: str = "seconds",
-    mode: str = "cumulative", numbered: bool = False,
+def fire_marks(
+    hits: DataFrame, key: str, ts: str, event: str, n: str = "n", seconds: str = "seconds", mode: str = "cumulative"
 ) -> DataFrame:
-    """Hits at which their key's counter fires. Ties in time are ordered by event id.
+    """Hits with their number ``rn`` and whether their key's counter fires there (``fired``).
 
-    ``cumulative``: every n-th hit, whatever the time between. ``windowed``: the last n hits lie
-    within ``seconds``, without reset. ``windowed_reset``: as windowed, and a fire clears the counter.
-    ``numbered`` says the input already carries ``rn``.
+    Ties in time are ordered by event id. ``cumulative``: every n-th hit, whatever the time between.
+    ``windowed``: the last n hits lie within ``seconds``, without reset. ``windowed_reset``: as
+    windowed, and a fire clears the counter.
     """
-    rows = hits if numbered else running(hits, [key], [ts, event])
+    rows = running(hits, [key], [ts, event])
     if mode == "cumulative":
-        return rows.where((F.col(n) > 0) & (F.col("rn") % F.col(n) == 0))
+        return rows.withColumn("fired", F.coalesce(F.col("rn") % F.nullif(F.col(n), F.lit(0)) == 0, F.lit(False)))
     marked = _within_limit(rows, key, ts, n, seconds)
     if mode == "windowed":
-        return marked.where("_within").drop("_within")
+        return marked.withColumnRenamed("_within", "fired")
     if mode != "windowed_reset":
         raise ValueError(f"unknown threshold mode {mode!r}")
     floor = F.when(F.col("_within"), F.col("rn") - F.col(n) + 1)
     chained = fire_chain(marked.withColumn("_floor", floor), key, "rn", "_floor")
-    return chained.where("fired").select(*hits.columns, "rn") if not numbered else (
-        chained.where("fired").select(*hits.columns))
+    return chained.select(*hits.columns, "rn", "fired")
+
+
+def threshold_fire(
+    hits: DataFrame, key: str, ts: str, event: str, n: str = "n", seconds: str = "seconds", mode: str = "cumulative"
+) -> DataFrame:
+    """Hits at which their key's counter fires, with their number."""
+    return fire_marks(hits, key, ts, event, n, seconds, mode).where("fired").drop("fired")
 
 
 def threshold_members(numbered: DataFrame, key: str, n: str = "n") -> DataFrame:
