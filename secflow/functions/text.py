@@ -68,6 +68,11 @@ def ip_bounds(span: str) -> tuple[int, int]:
     return number(low), number(high)
 
 
+def ip_in_any(ip: Column, spans: list[str]) -> Column:
+    """Membership for a single test; for several, number the address once and use number_in_any."""
+    return number_in_any(ip_to_long(ip), spans)
+
+
 def number_in_any(number: Column, spans: list[str]) -> Column:
     """Inclusive membership of an address number in any of the ``begin-end`` ranges."""
     inside = F.lit(False)

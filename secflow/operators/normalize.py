@@ -36,9 +36,7 @@ def _rule_columns(rules: DataFrame, device_scoped: bool) -> DataFrame:
     ).where("device is not null and regex is not null")
 
 
-@F.udf(_COMPILED)
 def _compile(regex):
-    # rule rows only: runs when a large rule base is loaded, never on logs
     c = compile_pattern(regex)
     return c.whole, c.template, c.indexes, c.count
 
@@ -88,7 +86,9 @@ def _compiled_match(logs: DataFrame, rules: list, device_scoped: bool) -> DataFr
 
 def _array_match(logs: DataFrame, rules: DataFrame, device_scoped: bool) -> DataFrame:
     content = F.col("content")
-    prepared = rules.withColumn("p", _compile("regex")).where("p.group_count > 0").select("*", "p.*")
+    # on rule rows only, never on logs
+    compiled = F.udf(_compile, _COMPILED)("regex")
+    prepared = rules.withColumn("p", compiled).where("p.group_count > 0").select("*", "p.*")
     rule = F.struct("rule_ord", *_RULE_CONSTANTS, "regex", "whole", "template", "idx")
     lists = prepared.groupBy("device").agg(F.array_sort(F.collect_list(rule)).alias("rules"))
     if device_scoped:
