@@ -29,8 +29,9 @@ COMPOSITE = AlarmKind("t_siem_alarm_policy_relation_ev", "relation_event_rule_id
 def policies(whole: DataFrame, detail: DataFrame, kind: AlarmKind) -> DataFrame:
     """Policies of one kind, one row per watched rule id."""
     active = whole.where(F.lower("obj_table") == kind.obj_table).select(
-        F.col("record_id").alias("obj_id"), F.col("alarm_level"), F.col("start_time").alias("valid_from"),
-        F.col("end_time").alias("valid_to"))
+        F.col("record_id").alias("obj_id"), F.col("alarm_level"),
+        F.col("start_time").try_cast("timestamp").alias("valid_from"),
+        F.col("end_time").try_cast("timestamp").alias("valid_to"))
     watched = detail.select(
         F.col("record_id").alias("policy_id"), F.lower(F.trim("alarm_id")).alias("alarm_key"),
         F.lower(F.trim(kind.rule_column)).alias("rule_key"),

@@ -208,8 +208,9 @@ def resolve_asset_rules(rules: DataFrame, assets: DataFrame, asset_ips: DataFram
     """
     os = asset_os(assets, asset_ips)
     return rules.join(os, F.trim("ip_addr") == F.col("asset_ip"), "left").select(
-        *[c for c in rules.columns if c not in ("ip_addr", "os")], F.trim("ip_addr").alias("ip_addr"),
-        (F.coalesce("os_id", F.lit(1)) == F.col("os")).alias("os_ok"))
+        *[c for c in rules.columns if c not in ("ip_type", "ip_addr", "os")],
+        F.col("ip_type").cast("int").alias("ip_type"), F.trim("ip_addr").alias("ip_addr"),
+        (F.coalesce(F.col("os_id").cast("int"), F.lit(1)) == F.col("os").cast("int")).alias("os_ok"))
 
 
 def asset_holds(rule) -> Column:

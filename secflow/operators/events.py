@@ -52,7 +52,7 @@ def builtin_events(logs: DataFrame, defs: DataFrame, with_log: bool = False) ->
     rule = F.struct("event_rule_id", "event_rule_name", "event_rule_level")
     first = (
         defs.groupBy(F.lower(F.trim("begin_value")).alias("rule_key"))
-        .agg(F.min_by(rule, F.col("rule_ord")).alias("rule")))
+        .agg(F.min_by(rule, F.col("rule_ord").cast("long")).alias("rule")))
     # logs without a captured name carry one blank, which trims to ''
     key = F.lower(F.trim(F.coalesce("event_name", F.lit(""))))
     matched = logs.join(broadcast_if_bounded(first), key == F.col("rule_key"))
