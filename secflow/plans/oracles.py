@@ -461,6 +461,10 @@ select md5('flow|' || value || '|' || position) as record_id, srcip, dstip, byte
   from {lines} where parts >= 8""",
         "stored_general_log": f"""select md5('row|' || record_id) as "row", {doc(general_doc)} from {_GENERAL}""",
         "stored_event": f"""select md5('row|' || event_result_id) as "row", {doc(event_doc)} from {_BUILTIN}""",
+        "stored_composite": f"""select md5('row|' || record_id) as "row", record_id as recordid, me_def_id as medid,
+  epoch_us(storage_time) // 1000 as storagetime from ({_COMPOSITE})""",
+        "stored_composite_member": f"""select md5('row|' || composite_id) as "row", record_id as recordid,
+  event_result_id as event_rule_result_id, composite_id as t_s_recordid from ({_MEMBERS})""",
         "stored_alarm": f"""select md5('row|' || record_id) as "row", record_id as recordid,
   epoch_us(first_alarm_time) // 1000 as firstalarmtime, content as alarmcontent, obj_table as objtable, obj_id as objid,
   alarm_times as alarmtimes from ({_ALARM_SINGLE})""",

@@ -389,6 +389,16 @@ def stored_alarm(spark, sf_dir):
         alarms.alarms(alarms.from_events(_builtin(spark, sf_dir)), *_policies(spark, sf_dir)))
 
 
+@query
+def stored_composite(spark, sf_dir):
+    return sinks.composite_docs(correlate.composite_rows(_composites(spark, sf_dir)))
+
+
+@query
+def stored_composite_member(spark, sf_dir):
+    return sinks.member_docs(correlate.composite_members(_composites(spark, sf_dir)))
+
+
 @query
 def threshold_totals(spark, sf_dir):
     """Hits, fires and left-over hits of each policy counter."""
