@@ -8,6 +8,8 @@ occurrence number is the place inside the partition plus the count of earlier pa
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -17,6 +19,7 @@ from secflow.plans.physical import broadcast_if_bounded, checkpointed
 
 _PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 _BLOCK = 65_536  # rows per block of the reset chain
+_SPAN = 256  # blocks per span
 
 
 def running(
@@ -164,14 +167,47 @@ def _block_steps(pos: np.ndarray, floor: np.ndarray) -> tuple[list[int], list[in
     return peaks[records].tolist(), last[records].tolist(), count[records].tolist()
 
 
-def fire_chain(df: DataFrame, key: str, pos: str, floor: str, block: int = _BLOCK) -> DataFrame:
+def _applied(step: tuple, last: int, fires: int) -> tuple[int, int]:
+    """Last fire and fire count after a block, given those before it."""
+    bounds, lasts, counts = step
+    i = bisect_right(bounds, last)
+    return (int(lasts[i]), fires + int(counts[i])) if i < len(bounds) else (last, fires)
+
+
+def _composed(steps: list[tuple], start: int) -> tuple[list[int], list[int], list[int]]:
+    """Step function of consecutive blocks, for entries before position ``start``."""
+    bounds, lasts, counts = [], [], []
+    peak = -1  # entries below it have met a block that fires
+    for i, step in enumerate(steps):
+        for bound, last, count in zip(*step):
+            if bound <= peak:
+                continue
+            state = int(last), int(count)
+            for later in steps[i + 1:]:
+                state = _applied(later, *state)
+            bounds.append(int(bound))
+            lasts.append(state[0])
+            counts.append(state[1])
+            peak = int(bound)
+        if peak >= start:
+            break
+    return bounds, lasts, counts
+
+
+def _steps_of(pdf: pd.DataFrame) -> list[tuple]:
+    return [tuple(list(x) for x in row) for row in zip(pdf["bounds"], pdf["lasts"], pdf["counts"])]
+
+
+def fire_chain(df: DataFrame, key: str, pos: str, floor: str, block: int = _BLOCK, span: int = _SPAN) -> DataFrame:
     """Add ``fired`` and ``fire_seq`` (fires of the key before the row).
 
     ``pos`` numbers the rows of a key from 1 without gaps; ``floor`` is NULL for rows that cannot
-    fire and otherwise at most ``pos``.
+    fire and otherwise at most ``pos``. Blocks of ``block`` rows are summarised on their own, spans
+    of ``span`` blocks likewise; only the spans of a key are walked one after another.
     """
-    df = checkpointed(df)  # read by the three steps below
+    df = checkpointed(df)  # read by the steps below
     key_type = df.schema[key].dataType.simpleString()
+    step_type = "bounds array<long>, lasts array<long>, counts array<long>"
     blocks = df.withColumn("_block", F.floor((F.col(pos) - 1) / block))
 
     def summarise(ids, pdf):
@@ -185,27 +221,48 @@ def fire_chain(df: DataFrame, key: str, pos: str, floor: str, block: int = _BLOC
 
     steps = blocks.select(
         F.col(key).alias("_key"), "_block", F.col(pos).cast("long").alias("_p"), F.col(floor).cast("long").alias("_f"),
-    ).groupBy("_key", "_block").applyInPandas(
-        summarise, f"_key {key_type}, _block long, bounds array<long>, lasts array<long>, counts array<long>")
+    ).groupBy("_key", "_block").applyInPandas(summarise, f"_key {key_type}, _block long, {step_type}")
+    steps = checkpointed(steps.withColumn("_span", F.floor(F.col("_block") / span)))
+
+    def compose(ids, pdf):
+        steps_ = _steps_of(pdf.sort_values("_block"))
+        bounds, lasts, counts = _composed(steps_, int(ids[1]) * span * block + 1)
+        return pd.DataFrame({
+            "_key": [ids[0]], "_span": [ids[1]], "bounds": [bounds], "lasts": [lasts], "counts": [counts]})
+
+    spans = steps.groupBy("_key", "_span").applyInPandas(compose, f"_key {key_type}, _span long, {step_type}")
 
-    def entries(batches):
-        # blocks of a key arrive together and in order; only two numbers are carried along
+    def span_entries(batches):
+        # spans of a key arrive together and in order; only two numbers are carried along
         current, last, fires = object(), 0, 0
         for pdf in batches:
             out_last, out_fires = [], []
-            for k, bounds, lasts, counts in zip(pdf["_key"], pdf["bounds"], pdf["lasts"], pdf["counts"]):
+            for k, step in zip(pdf["_key"], _steps_of(pdf)):
                 if k != current:
                     current, last, fires = k, 0, 0
                 out_last.append(last)
                 out_fires.append(fires)
-                i = int(np.searchsorted(np.asarray(bounds, dtype=np.int64), last, side="right"))
-                if i < len(bounds):
-                    last, fires = int(lasts[i]), fires + int(counts[i])
-            yield pd.DataFrame({"_ekey": pdf["_key"], "_eblock": pdf["_block"], "_last": out_last, "_fires": out_fires})
+                last, fires = _applied(step, last, fires)
+            yield pd.DataFrame({"_skey": pdf["_key"], "_sspan": pdf["_span"], "_last": out_last, "_fires": out_fires})
+
+    span_entry = (
+        spans.repartition("_key").sortWithinPartitions("_key", "_span")
+        .mapInPandas(span_entries, f"_skey {key_type}, _sspan long, _last long, _fires long"))
+
+    def block_entries(ids, pdf):
+        pdf = pdf.sort_values("_block")
+        last, fires = int(pdf["_last"].iloc[0]), int(pdf["_fires"].iloc[0])
+        out_last, out_fires = [], []
+        for step in _steps_of(pdf):
+            out_last.append(last)
+            out_fires.append(fires)
+            last, fires = _applied(step, last, fires)
+        return pd.DataFrame({"_ekey": ids[0], "_eblock": pdf["_block"], "_last": out_last, "_fires": out_fires})
 
     entry = (
-        steps.repartition("_key").sortWithinPartitions("_key", "_block")
-        .mapInPandas(entries, f"_ekey {key_type}, _eblock long, _last long, _fires long"))
+        steps.join(span_entry, (F.col("_key") == F.col("_skey")) & (F.col("_span") == F.col("_sspan")))
+        .drop("_skey", "_sspan").groupBy("_key", "_span")
+        .applyInPandas(block_entries, f"_ekey {key_type}, _eblock long, _last long, _fires long"))
 
     rows = blocks.join(
         entry, (F.col(key) == F.col("_ekey")) & (F.col("_block") == F.col("_eblock"))).drop("_ekey", "_eblock")

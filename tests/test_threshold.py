@@ -83,9 +83,9 @@ def test_members_are_complete_buckets_only(spark):
     assert len(members) == sum(len(r) // r[0][3] * r[0][3] for r in _by_key(data).values())
 
 
-@pytest.mark.parametrize("block", [1, 7, 64, 10_000])
+@pytest.mark.parametrize("block, span", [(1, 1), (1, 16), (7, 3), (64, 2), (10_000, 256)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_chain_equals_loop_for_any_floors(spark, block, seed):
+def test_chain_equals_loop_for_any_floors(spark, block, span, seed):
     """Floors need not grow with the position, and rows without one never fire."""
     rng = random.Random(seed)
     data = []
@@ -94,7 +94,7 @@ def test_chain_equals_loop_for_any_floors(spark, block, seed):
             able = key != "none" and rng.random() < 0.7
             data.append((key, pos, max(1, pos - rng.randrange(25)) if able else None))
     frame = spark.createDataFrame(data, "key string, pos long, floor long")
-    got = {(r.key, r.pos): (r.fired, r.fire_seq) for r in fire_chain(frame, "key", "pos", "floor", block).collect()}
+    got = {(r.key, r.pos): (r.fired, r.fire_seq) for r in fire_chain(frame, "key", "pos", "floor", block, span).collect()}
     state = {}
     for key, pos, floor in data:
         last, count = state.get(key, (0, 0))
