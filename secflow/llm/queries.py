@@ -7,13 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from secflow.llm import decontamination, mixing, rules, tokens
-from secflow.llm.common import table
+from secflow.llm import decontamination, mixing, personal, rules, token_files, tokens
+from secflow.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
+    return token_files.read_tokens(spark, folder)
+
+
 def op3_mixture_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -32,7 +42,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
 
 
-QUERIES: list[Query] = [op3_mixture_weights, op4_token_counts, op9_quality_rules, op10_decontamination]
+QUERIES: list[Query] = [
+    op1_personal_data, op2_token_files, op3_mixture_weights, op4_token_counts, op9_quality_rules, op10_decontamination]
 
 
 def registry() -> dict[str, Query]:
