@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from secflow.llm import decontamination, mixing, personal, rules, token_files, tokens
+from secflow.llm import (
+    decontamination, language, mixing, near_duplicates, personal, rules, token_files, tokens)
 from secflow.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality(table(spark, sf_dir, "documents"))
 
@@ -43,7 +52,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Query] = [
-    op1_personal_data, op2_token_files, op3_mixture_weights, op4_token_counts, op9_quality_rules, op10_decontamination]
+    op1_personal_data, op2_token_files, op3_mixture_weights, op4_token_counts, op5_language, op7_near_duplicates,
+    op9_quality_rules, op10_decontamination]
 
 
 def registry() -> dict[str, Query]:
