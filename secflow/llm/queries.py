@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from secflow.llm import (
-    decontamination, language, mixing, near_duplicates, personal, rules, token_files, tokens)
+    decontamination, language, mixing, near_duplicates, personal, rules, token_files, tokens, wrappers)
 from secflow.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality(table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: list[Query] = [
     op1_personal_data, op2_token_files, op3_mixture_weights, op4_token_counts, op5_language, op7_near_duplicates,
-    op9_quality_rules, op10_decontamination]
+    op8_main_text, op9_quality_rules, op10_decontamination]
 
 
 def registry() -> dict[str, Query]:
