@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from secflow.llm import (
-    decontamination, language, mixing, near_duplicates, personal, rules, token_files, tokens, wrappers)
+    decontamination, language, mixing, near_duplicates, personal, rules, token_files, tokens, toxicity,
+    wrappers)
 from secflow.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,8 +61,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Query] = [
-    op1_personal_data, op2_token_files, op3_mixture_weights, op4_token_counts, op5_language, op7_near_duplicates,
-    op8_main_text, op9_quality_rules, op10_decontamination]
+    op1_personal_data, op2_token_files, op3_mixture_weights, op4_token_counts, op5_language, op6_toxicity,
+    op7_near_duplicates, op8_main_text, op9_quality_rules, op10_decontamination]
 
 
 def registry() -> dict[str, Query]:
