@@ -17,14 +17,16 @@ import zlib
 
 import numpy as np
 
-BLOCK = 8192  # ids per block
+BLOCK = 4096  # ids per block
 EPOCH = 256  # steps between two renewals of the order-0 table
 MAGIC = b"SFT1"
 
-_HASH = 8192  # places of the order-2 table, a power of two
+_HASH = 4096  # places of the order-2 table, a power of two
 _SHARE_BITS = 16
 _LOW_BITS = 48
-_HEAD = struct.Struct("<4sBxHIIIII")  # magic, bytes per id, epoch, ids, steps, different ids, body crc32, ids crc32
+_U16, _U32 = np.uint64(16), np.uint64(32)
+_LOW_MAX, _WIDTH_MAX = np.uint64((1 << _LOW_BITS) - 1), np.uint64((1 << 32) - 1)
+_HEAD = "<4sBxHIIIII"  # magic, bytes per id, epoch, ids, steps, different ids, body crc32, ids crc32
 
 
 class CorruptBlock(ValueError):
@@ -37,67 +39,83 @@ class _Writer:
     def __init__(self, lanes: int, steps: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, (1 << _LOW_BITS) - 1, np.uint64)
-        self.words = np.zeros((lanes, 3 * steps + 8), np.uint16)
-        self.at = np.zeros(lanes, np.int64)
+        self.space = 3 * steps + 8
+        self.words = np.zeros(lanes * self.space, np.uint16)
+        self.at = np.arange(lanes) * self.space
 
     def _emit(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        self.words[lanes, self.at[lanes]] = (low >> np.uint64(32)).astype(np.uint16)
-        self.at[lanes] += 1
-
-    def put(self, lanes: np.ndarray, start, freq, total) -> None:
-        unit = self.range[lanes] // total
-        low = self.low[lanes] + start * unit
+        at = self.at[lanes]
+        self.words[at] = low >> _U32
+        self.at[lanes] = at + 1
+
+    def put(self, lanes: np.ndarray | None, start, unit_bits: int, freq, total=None) -> None:
+        """Code intervals of some lanes, or of all; the total is a power of two or given by lane."""
+        wide, low = (self.range, self.low) if lanes is None else (self.range[lanes], self.low[lanes])
+        unit = wide >> np.uint64(unit_bits) if total is None else wide // total
+        low = low + start * unit
         width = freq * unit
-        over = low >> np.uint64(_LOW_BITS)
+        over = low > _LOW_MAX
         if over.any():
-            low &= np.uint64((1 << _LOW_BITS) - 1)
-            carry, back = lanes[over > 0], 1
+            low &= _LOW_MAX
+            carry, back = np.flatnonzero(over) if lanes is None else lanes[over], 1
             while carry.size:
                 place = self.at[carry] - back
-                self.words[carry, place] += np.uint16(1)
-                carry, back = carry[self.words[carry, place] == 0], back + 1
-        small = np.flatnonzero(width < np.uint64(1 << 32))
+                self.words[place] += np.uint16(1)
+                carry, back = carry[self.words[place] == 0], back + 1
+        small = np.flatnonzero(width <= _WIDTH_MAX)
         if small.size:
-            self._emit(lanes[small], low[small])
-            low[small] = (low[small] << np.uint64(16)) & np.uint64((1 << _LOW_BITS) - 1)
-            width[small] <<= np.uint64(16)
-        self.low[lanes], self.range[lanes] = low, width
+            moved = low[small]
+            self._emit(small if lanes is None else lanes[small], moved)
+            low[small] = (moved << _U16) & _LOW_MAX
+            width[small] <<= _U16
+        if lanes is None:
+            self.low, self.range = low, width
+        else:
+            self.low[lanes], self.range[lanes] = low, width
 
     def bodies(self) -> list[bytes]:
         every = np.arange(len(self.low))
         for _ in range(3):
             self._emit(every, self.low)
-            self.low = (self.low << np.uint64(16)) & np.uint64((1 << _LOW_BITS) - 1)
-        return [self.words[k, :n].astype("<u2").tobytes() for k, n in enumerate(self.at)]
+            self.low = (self.low << _U16) & _LOW_MAX
+        starts = every * self.space
+        return [self.words[a:b].astype("<u2").tobytes() for a, b in zip(starts, self.at, strict=True)]
 
 
 class _Reader:
     def __init__(self, bodies: list[bytes]):
-        longest = max(len(b) for b in bodies) // 2
-        self.words = np.zeros((len(bodies), longest + 4), np.uint64)
+        space = max(len(b) for b in bodies) // 2 + 4
+        words = np.zeros((len(bodies), space), np.uint16)
         for k, body in enumerate(bodies):
-            self.words[k, :len(body) // 2] = np.frombuffer(body, "<u2")
-        w = self.words
-        self.code = (w[:, 0] << np.uint64(32)) | (w[:, 1] << np.uint64(16)) | w[:, 2]
+            words[k, :len(body) // 2] = np.frombuffer(body, "<u2")
+        first = words[:, :3].astype(np.uint64)
+        self.code = (first[:, 0] << _U32) | (first[:, 1] << _U16) | first[:, 2]
+        self.words = words.ravel()
         self.range = np.full(len(bodies), (1 << _LOW_BITS) - 1, np.uint64)
-        self.at = np.full(len(bodies), 3, np.int64)
-        self.unit = self.range.copy()
-
-    def look(self, lanes: np.ndarray, total) -> np.ndarray:
-        unit = self.range[lanes] // total
-        self.unit[lanes] = unit
-        return np.minimum(self.code[lanes] // unit, np.asarray(total, np.uint64) - np.uint64(1)).astype(np.int64)
-
-    def take(self, lanes: np.ndarray, start, freq) -> None:
-        unit = self.unit[lanes]
-        code, width = self.code[lanes] - start * unit, freq * unit
-        small = np.flatnonzero(width < np.uint64(1 << 32))
+        self.at = np.arange(len(bodies)) * space + 3
+
+    def look(self, lanes: np.ndarray | None, unit_bits: int, total=None) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each lane below its total, and the unit to give to ``take``."""
+        wide, code = (self.range, self.code) if lanes is None else (self.range[lanes], self.code[lanes])
+        unit = wide >> np.uint64(unit_bits) if total is None else wide // total
+        top = np.uint64((1 << unit_bits) - 1) if total is None else total - np.uint64(1)
+        return np.minimum(code // unit, top).astype(np.int64), unit
+
+    def take(self, lanes: np.ndarray | None, unit: np.ndarray, start, freq) -> None:
+        code = (self.code if lanes is None else self.code[lanes]) - start * unit
+        width = freq * unit
+        small = np.flatnonzero(width <= _WIDTH_MAX)
         if small.size:
-            who = lanes[small]
-            code[small] = (code[small] << np.uint64(16)) | self.words[who, np.minimum(self.at[who], self.words.shape[1] - 1)]
-            width[small] <<= np.uint64(16)
-            self.at[who] += 1
-        self.code[lanes], self.range[lanes] = code, width
+            who = small if lanes is None else lanes[small]
+            at = self.at[who]
+            # a damaged body may ask for more than there is
+            code[small] = (code[small] << _U16) | self.words[np.minimum(at, len(self.words) - 1)]
+            width[small] <<= _U16
+            self.at[who] = at + 1
+        if lanes is None:
+            self.code, self.range = code, width
+        else:
+            self.code[lanes], self.range[lanes] = code, width
 
 
 class _Model:
@@ -110,11 +128,15 @@ class _Model:
         self.after_two = np.zeros(lanes * _HASH, np.uint16)
         start = np.array([13000, 26000, 39000, 52000], np.int64)
         self.share_one, self.share_two = np.tile(start, lanes), np.tile(start, lanes)
-        self.counts = np.zeros((lanes, steps), np.int32)
+        self.steps = steps
+        self.counts = np.zeros(lanes * steps, np.int32)
+        self.row = self.every * steps
+        self.row_one, self.row_two, self.row_share = self.every * self.width, self.every * _HASH, self.every * 4
         self.before = np.full(lanes, steps, np.int64)  # the number before; ``steps`` stands for none
         self.before_two = np.full(lanes, steps, np.int64)
         self.known = np.zeros(lanes, np.int64)  # different numbers so far
-        self.table = np.zeros((lanes, 1), np.int64)
+        self.table = np.zeros(lanes, np.int64)
+        self.columns = 1
         self.tabled = np.zeros(lanes, np.int64)  # numbers in the order-0 table
         self.total = np.zeros(lanes, np.int64)
         self.fresh = np.zeros(lanes, np.int64)  # steps of this epoch that the table could not serve
@@ -123,10 +145,11 @@ class _Model:
     def renew(self, step: int) -> None:
         """Rebuild the order-0 table; what escaped in the epoch sets the share of later escapes."""
         width = int(self.known.max(initial=0))
-        self.table = np.zeros((len(self.every), width + 1), np.int64)
-        np.cumsum(self.counts[:, :width], axis=1, out=self.table[:, 1:])
+        table = np.zeros((len(self.every), width + 1), np.int64)
+        np.cumsum(self.counts.reshape(-1, self.steps)[:, :width], axis=1, out=table[:, 1:])
         self.tabled = self.known.copy()
-        self.total = self.table[:, -1].copy()
+        self.total = table[:, -1].copy()
+        self.table, self.columns = table.ravel(), width + 1
         if step:
             served = np.maximum(EPOCH - self.fresh, 1)
             self.escape = np.clip(self.total * self.fresh // served, 1, 50_000)
@@ -134,12 +157,12 @@ class _Model:
 
     def predict(self) -> None:
         hashed = (self.before * 40503 + self.before_two * 30011) & (_HASH - 1)
-        self.place_two = self.every * _HASH + hashed
-        self.place_one = self.every * self.width + self.before
+        self.place_two = self.row_two + hashed
+        self.place_one = self.row_one + self.before
         two, one = self.after_two[self.place_two].astype(np.int64), self.after_one[self.place_one].astype(np.int64)
         self.two, self.sure_two = two >> 2, two & 3
         self.one, self.sure_one = one >> 2, one & 3
-        self.bin_two, self.bin_one = self.every * 4 + self.sure_two, self.every * 4 + self.sure_one
+        self.bin_two, self.bin_one = self.row_share + self.sure_two, self.row_share + self.sure_one
         self.has_two = self.two > 0
         self.has_one = (self.one > 0) & (self.one != self.two)
         self.freq_two = np.where(self.has_two, self.share_two[self.bin_two], 0)
@@ -151,16 +174,16 @@ class _Model:
                 (self.share_two, self.bin_two, self.has_two, hit_two),
                 (self.share_one, self.bin_one, self.has_one & ~hit_two, hit_one)):
             old = shares[bins]
-            moved = old + ((np.where(hit, 1 << _SHARE_BITS, 0) - old) >> 5)
-            shares[bins] = np.where(asked, np.clip(moved, 1024, 61_440), old)
+            moved = old + (((hit << _SHARE_BITS) - old) >> 5)
+            shares[bins] = np.where(asked, np.minimum(np.maximum(moved, 1024), 61_440), old)
         name = number + 1
         for held, place, seen, sure in (
                 (self.after_two, self.place_two, self.two, self.sure_two),
                 (self.after_one, self.place_one, self.one, self.sure_one)):
             same = seen == name
-            keep = ~same & (sure > 0)
-            held[place] = np.where(same, name << 2 | np.minimum(sure + 1, 3), np.where(keep, seen << 2 | sure - 1, name << 2))
-        self.counts[self.every, number] += 1
+            sure_next = np.where(same, np.minimum(sure + 1, 3), np.maximum(sure - 1, 0))
+            held[place] = np.where(same | (sure == 0), name, seen) << 2 | sure_next
+        self.counts[self.row + number] += 1
         np.maximum(self.known, name, out=self.known)
         self.before_two, self.before = self.before, number
 
@@ -192,7 +215,6 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         grid[:len(row), k] = row
         grid[len(row):, k] = row[-1]
     model, out = _Model(lanes, steps), _Writer(lanes, steps)
-    whole = np.uint64(1 << _SHARE_BITS)
     for step in range(steps):
         if step % EPOCH == 0:
             model.renew(step)
@@ -204,27 +226,29 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         both = model.freq_two + model.freq_one
         start = np.where(hit_two, 0, np.where(hit_one, model.freq_two, both))
         freq = np.where(hit_two, model.freq_two, np.where(hit_one, model.freq_one, (1 << _SHARE_BITS) - both))
-        out.put(model.every, _u(start), _u(freq), whole)
+        out.put(None, _u(start), _SHARE_BITS, _u(freq))
         rest = np.flatnonzero(missed)
         if rest.size:
             n = number[rest]
             fresh = n >= model.tabled[rest]
             total = model.total[rest]
             col = np.where(fresh, 0, n)
-            base = model.table[rest, col]
-            width = model.table[rest, np.minimum(col + 1, model.table.shape[1] - 1)] - base
-            out.put(rest, _u(np.where(fresh, total, base)), _u(np.where(fresh, model.escape[rest], width)),
-                    _u(total + model.escape[rest]))
+            place = rest * model.columns + col
+            base = model.table[place]
+            width = model.table[np.minimum(place + 1, len(model.table) - 1)] - base
+            escape = model.escape[rest]
+            out.put(rest, _u(np.where(fresh, total, base)), 0, _u(np.where(fresh, escape, width)), _u(total + escape))
             new = rest[fresh]
             if new.size:
                 model.fresh[new] += 1
-                out.put(new, _u(n[fresh] - model.tabled[new]), np.uint64(1), _u(model.known[new] - model.tabled[new] + 1))
+                out.put(new, _u(n[fresh] - model.tabled[new]), 0, np.uint64(1), _u(model.known[new] - model.tabled[new] + 1))
         model.learn(number, hit_two, hit_one)
     blocks = []
     for part, name, body in zip(parts, names, out.bodies(), strict=True):
         width = 2 if name.max() < 1 << 16 else 4
         rest = name.astype(f"<u{width}").tobytes() + body
-        blocks.append(_HEAD.pack(
+        blocks.append(struct.pack(
+            _HEAD, 
             MAGIC, width, EPOCH, len(part), steps, len(name), zlib.crc32(rest), zlib.crc32(part.tobytes())) + rest)
     return blocks
 
@@ -233,10 +257,10 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     """The ids of each block, from blocks of any number of steps. Raises CorruptBlock."""
     heads, names, bodies = [], [], []
     for block in blocks:
-        if len(block) < _HEAD.size:
+        if len(block) < struct.calcsize(_HEAD):
             raise CorruptBlock("too short")
-        head = _HEAD.unpack_from(block)
-        rest = block[_HEAD.size:]
+        head = struct.unpack_from(_HEAD, block)
+        rest = block[struct.calcsize(_HEAD):]
         if head[0] != MAGIC or head[2] != EPOCH or zlib.crc32(rest) != head[6]:
             raise CorruptBlock("magic, epoch or checksum differs")
         heads.append(head)
@@ -260,38 +284,38 @@ def _decode_lanes(bodies: list[bytes], steps: int) -> np.ndarray:
     lanes = len(bodies)
     model, source = _Model(lanes, steps), _Reader(bodies)
     grid = np.empty((steps, lanes), np.int64)
-    whole = np.uint64(1 << _SHARE_BITS)
     for step in range(steps):
         if step % EPOCH == 0:
             model.renew(step)
             # one sorted array of all lanes' tables: a single search serves every lane
             lift = np.int64(1 << 24)
-            columns = model.table.shape[1]
-            flat = (model.table + (model.every * lift)[:, None]).ravel()
+            columns = model.columns
+            flat = model.table + np.repeat(model.every * lift, columns)
         model.predict()
-        value = source.look(model.every, whole)
+        value, unit = source.look(None, _SHARE_BITS)
         both = model.freq_two + model.freq_one
         hit_two = value < model.freq_two
         hit_one = ~hit_two & (value < both)
         start = np.where(hit_two, 0, np.where(hit_one, model.freq_two, both))
         freq = np.where(hit_two, model.freq_two, np.where(hit_one, model.freq_one, (1 << _SHARE_BITS) - both))
-        source.take(model.every, _u(start), _u(freq))
+        source.take(None, unit, _u(start), _u(freq))
         number = np.where(hit_two, model.two - 1, model.one - 1)
         rest = np.flatnonzero(~(hit_two | hit_one))
         if rest.size:
             total, escape = model.total[rest], model.escape[rest]
-            value = source.look(rest, _u(total + escape))
+            value, unit = source.look(rest, 0, _u(total + escape))
             fresh = value >= total
             found = np.searchsorted(flat, rest * lift + np.where(fresh, 0, value), side="right") - 1 - rest * columns
             col = np.where(fresh, 0, found)
-            base = model.table[rest, col]
-            width = model.table[rest, np.minimum(col + 1, columns - 1)] - base
-            source.take(rest, _u(np.where(fresh, total, base)), _u(np.where(fresh, escape, width)))
+            place = rest * columns + col
+            base = model.table[place]
+            width = model.table[np.minimum(place + 1, len(flat) - 1)] - base
+            source.take(rest, unit, _u(np.where(fresh, total, base)), _u(np.where(fresh, escape, width)))
             new = rest[fresh]
             if new.size:
                 model.fresh[new] += 1
-                more = source.look(new, _u(model.known[new] - model.tabled[new] + 1))
-                source.take(new, _u(more), np.uint64(1))
+                more, unit = source.look(new, 0, _u(model.known[new] - model.tabled[new] + 1))
+                source.take(new, unit, _u(more), np.uint64(1))
                 col[fresh] = model.tabled[new] + more
             number[rest] = col
         grid[step] = number
