@@ -110,13 +110,14 @@ class Models:
     logp: np.ndarray  # natural logarithms, one column a language
     lower: np.ndarray  # the order below, dense over its packed n-grams: used where a gram is new to all
     backoff: np.ndarray  # by context: what is left of its mass
+    places: np.ndarray  # row of each packed n-gram, or -1
 
     def matrix(self, found: np.ndarray) -> np.ndarray:
         """Log-probability of each character after the first two, per language, summed."""
         packed = _grams(found, ORDER)
         if not len(packed):
             return np.zeros(len(self.langs))
-        at = self.places()[packed]
+        at = self.places[packed]
         known = at >= 0
         total = self.logp[at[known]].sum(axis=0, dtype=np.float64)
         new = packed[~known]
@@ -125,12 +126,6 @@ class Models:
             total = total + (self.lower[tails] + self.backoff[heads]).sum(axis=0, dtype=np.float64)
         return total
 
-    def places(self) -> np.ndarray:
-        if not hasattr(self, "_places"):
-            self._places = np.full(1 << (ORDER * CLASS_BITS), -1, np.int32)
-            self._places[self.grams] = np.arange(len(self.grams), dtype=np.int32)
-        return self._places
-
 
 def train(counts) -> Models:
     """Kneser-Ney models from a pandas frame of (lang, gram, n).
@@ -165,15 +160,18 @@ def train(counts) -> Models:
         head, tail = grams >> CLASS_BITS, grams & (two - 1)
         top = np.maximum(all_n - DISCOUNT, 0) / np.maximum(seen[head], 1) + left[head] * p2[tail]
         logp[:, k], lower[:, k], backoff[:, k] = np.log(top), np.log(p2), np.log(left)
-    return Models(langs, grams, logp, lower, backoff)
+    places = np.full(1 << (ORDER * CLASS_BITS), -1, np.int32)
+    places[grams] = np.arange(len(grams), dtype=np.int32)
+    return Models(langs, grams, logp, lower, backoff, places)
 
 
 def scored(docs: DataFrame, models: Models) -> DataFrame:
     """doc_id, best (language or ``und``), entropy (nats per character), gap to the next, n (characters), others."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    # plain values: broadcasts, unlike functions, do not carry the code of classes
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(models).values()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value  # a worker keeps it between tasks
+        model = Models(*shared.value)
         for batch in batches:
             best, entropy, gap, length = [], [], [], []
             for text in batch.column(1).to_pylist():
