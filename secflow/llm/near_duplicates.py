@@ -6,9 +6,10 @@ its next arrival comes after every component's first (early termination). Two te
 component with the probability Jaccard similarity of their weighted shingles.
 
 Equal texts are one node, found by digest. Nodes that share a band meet in a bucket; members are
-compared with pivots of the bucket, not with each other, and the Jaccard similarity of the shingle
-sets is computed exactly. Members that fail with all pivots go on with four times as many, until
-every bucket is used up: no bucket is capped. Verified pairs form components.
+compared with the bucket's pivot, not with each other, and the Jaccard similarity of the shingle sets
+is computed exactly. The pivot is the member that meets most others. Members that fail go on without
+it, then divided by further bands, until every bucket is used up: no bucket is capped. A pair of high
+similarity meets in several bands, each with other company. Verified pairs form components.
 """
 
 from __future__ import annotations
@@ -144,28 +145,31 @@ def digest(text: str = "text") -> Column:
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """One row per different text with a word: th, n (distinct shingles), bands."""
+    """One row per different text: th, rep (least id, null last), n_rows, n (distinct shingles), bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()
             for a, b in _groups(sizes, BATCH_BYTES):
-                texts = _texts(batch.column(1).slice(a, b - a))
+                texts = _texts(batch.column(2).slice(a, b - a))
                 owner, hashes, counts = shingles(texts)
                 n = np.bincount(owner, minlength=len(texts))
                 keys = band_keys(signatures(owner, hashes, 1 + np.log(counts), len(texts)))
                 offsets = pa.array(np.arange(len(texts) + 1) * BANDS, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()),
-                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64()))], names=["th", "n", "bands"])
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n, pa.int64()),
+                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64()))],
+                    names=["th", "doc_id", "n", "bands"])
 
-    rows = docs.where(F.col("text").isNotNull()).select(digest().alias("th"), "text")
-    signed = rows.mapInArrow(sign, "th string, n long, bands array<long>").where("n > 0")
-    return signed.groupBy("th").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+    rows = docs.where(F.col("text").isNotNull()).select(
+        digest().alias("th"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed = rows.mapInArrow(sign, "th string, doc_id long, n long, bands array<long>")
+    return signed.groupBy("th").agg(
+        F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"), F.first("n").alias("n"), F.first("bands").alias("bands"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """th and shingles (sorted 32-bit names) of the wanted texts."""
+    """th and shingles (sorted 32-bit names) of the wanted texts; ``wanted`` has each th once."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,12 +183,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(values, pa.binary())], names=["th", "shingles"])
 
-    rows = docs.select(digest().alias("th"), "doc_id", "text")
-    # of the copies of a text, the one with the least id
-    named = rows.join(
-        broadcast_if_bounded(wanted.withColumnsRenamed({"th": "_th", "rep": "_rep"})),
-        (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_rep")))
-    return named.select("th", "text").mapInArrow(sets, "th string, shingles binary").dropDuplicates(["th"])
+    rows = docs.where(F.col("text").isNotNull()).select(digest().alias("th"), "text")
+    named = rows.join(broadcast_if_bounded(wanted), "th", "left_semi")
+    return named.mapInArrow(sets, "th string, shingles binary").dropDuplicates(["th"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -206,70 +207,66 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified pairs (a, b) of different texts; ``nodes`` has th, rep, n and bands."""
-    spark = docs.sparkSession
-    members = nodes.select("th", F.posexplode("bands").alias("band", "key"))
-    shared = members.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    open_rows = stored(members.join(shared, ["band", "key"]), "buckets")
-    wanted = nodes.select("th", "rep").join(open_rows.select("th").distinct(), "th")
-    sets = stored(_sets(docs, wanted), "shingle-sets")
-    sizes = nodes.select("th", "n")
-    found, pivots, turn = None, 1, 0
-    while not open_rows.isEmpty():
-        slot = F.pmod(F.xxhash64("th", F.lit(turn)), F.lit(pivots))
-        chosen = open_rows.groupBy("band", "key", slot.alias("slot")).agg(F.min("th").alias("pivot")).drop("slot")
-        met = open_rows.join(chosen, ["band", "key"])
-        pairs = met.where("th <> pivot").select(
-            F.least("th", "pivot").alias("a"), F.greatest("th", "pivot").alias("b")).distinct()
+    """Verified pairs (a, b) of different texts; ``nodes`` has th, n and bands."""
+    members = nodes.where("n > 0").select("th", "n", F.posexplode("bands").alias("band", "key"))
+    shared = members.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1")
+    members = stored(members.join(shared, ["band", "key"]), "buckets")
+    # the text that meets most others stands in the middle of its group: it makes the best pivot
+    degree = members.groupBy("th").agg(F.sum("c").alias("degree"))
+    sets = stored(_sets(docs, degree.select("th")), "shingle-sets")
+    members = members.join(degree, "th").select("th", "n", "degree", "band", "key")
+    found, turn = None, 0
+    while True:
+        chosen = members.groupBy("band", "key").agg(
+            F.max(F.struct("degree", "th", "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
+        chosen = chosen.select("band", "key", F.col("p.th").alias("pivot"), F.col("p.n").alias("pn"))
+        met = stored(members.join(chosen, ["band", "key"]).where("th <> pivot"), "met")
+        if met.isEmpty():
+            return found.distinct() if found is not None else docs.sparkSession.createDataFrame([], "a string, b string")
         # sets of sizes further apart than the similarity cannot reach it
-        pairs = pairs.join(sizes.withColumnsRenamed({"th": "_t", "n": "na"}), F.col("a") == F.col("_t")).drop("_t")
-        pairs = pairs.join(sizes.withColumnsRenamed({"th": "_t", "n": "nb"}), F.col("b") == F.col("_t")).drop("_t")
-        pairs = pairs.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9).select("a", "b")
+        near = F.least("n", "pn") >= similarity * F.greatest("n", "pn") - 1e-9
+        pairs = met.where(near).select(F.least("th", "pivot").alias("a"), F.greatest("th", "pivot").alias("b")).distinct()
         new = stored(_verified(pairs, sets, similarity), "links")
         found = new if found is None else found.unionByName(new)
-        # members linked to a pivot of a bucket, and the pivots, are done there
-        done = met.join(
-            new.withColumnsRenamed({"a": "_a", "b": "_b"}),
-            (F.least("th", "pivot") == F.col("_a")) & (F.greatest("th", "pivot") == F.col("_b")))
-        done = done.select("band", "key", "th").unionByName(chosen.select("band", "key", F.col("pivot").alias("th"))).distinct()
-        left = open_rows.join(done, ["band", "key", "th"], "left_anti")
-        again = left.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-        open_rows = stored(left.join(again, ["band", "key"]), "buckets")
-        pivots, turn = pivots * 4, turn + 1
-    if found is None:
-        return spark.createDataFrame([], "a string, b string")
-    return found.distinct()
+        # members that do not belong to the pivot go on without it; from the second time on, only with
+        # those that share further bands, twice as many each time
+        linked = new.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.lit(True).alias("ok"))
+        left = met.join(
+            linked, (F.least("th", "pivot") == F.col("_a")) & (F.greatest("th", "pivot") == F.col("_b")), "left")
+        left = left.where("ok is null").select("th", "n", "degree", "band", "key")
+        if turn:
+            more = left.join(nodes.select("th", "bands"), "th")
+            others = [F.get("bands", F.pmod(F.col("band") + k, F.lit(BANDS))) for k in range(1 << turn - 1, 1 << turn)]
+            left = more.withColumn("key", F.xxhash64("key", *others)).drop("bands")
+        members, turn = left, turn + 1
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the least node of each component, by spreading labels and following them."""
+    """(node, label): the least node of each component, by spreading labels and, on long ways, following them."""
     both = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_b")).select(
+        "node", F.least("node", "_b").alias("label")), "labels")
+    turn = 0
     while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        low = labels.join(near, F.col("node") == F.col("a")).select("node", "label", F.least("label", "near").alias("low"))
-        low = stored(low, "labels")
-        up = low.select(F.col("node").alias("_n"), F.col("low").alias("_up"))
-        jumped = low.join(up, F.col("low") == F.col("_n"))
-        jumped = stored(jumped.select("node", F.least("low", "_up").alias("next"), "label"), "labels")
-        labels = jumped.select("node", F.col("next").alias("label"))
-        if jumped.where("next <> label").isEmpty():
+        came = both.join(labels, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "label", F.lit(None).alias("old"))
+        own = labels.select("node", "label", F.col("label").alias("old"))
+        low = stored(came.unionByName(own).groupBy("node").agg(
+            F.min("label").alias("label"), F.max("old").alias("old")), "labels")
+        if low.where("label <> old").isEmpty():
             return labels
+        labels, turn = low.select("node", "label"), turn + 1
+        if turn > 2:
+            up = labels.select(F.col("node").alias("_n"), F.col("label").alias("_up"))
+            labels = stored(labels.join(up, F.col("label") == F.col("_n")).select(
+                "node", F.least("label", "_up").alias("label")), "labels")
 
 
 def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """th, class (the least digest of its component), rep (least id with this text), n_rows, n_same
-    (rows with this text and id) of each different text."""
-    ids = docs.select(digest().alias("th"), F.col("doc_id").cast("long").alias("doc_id")).where("th is not null")
-    counted = ids.groupBy("th", "doc_id").agg(F.count("*").alias("c"))
-    reps = counted.groupBy("th").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "c")).alias("m"), F.sum("c").alias("n_rows"))
-    reps = stored(reps.select("th", F.col("m.doc_id").alias("rep"), F.col("m.c").alias("n_same"), "n_rows"), "texts")
-    nodes = _nodes(docs).join(reps.select(F.col("th").alias("_t"), "rep"), F.col("th") == F.col("_t")).drop("_t")
-    nodes = stored(nodes, "signatures")
+    """th, class (the least digest of its component), rep (least id with this text) and n_rows of each text."""
+    nodes = stored(_nodes(docs), "texts")
     labels = components(links(docs, nodes, similarity))
-    joined = reps.join(labels, F.col("th") == F.col("node"), "left")
-    return stored(joined.select("th", F.coalesce("label", "th").alias("class"), "rep", "n_same", "n_rows"), "classes")
+    joined = nodes.join(labels, F.col("th") == F.col("node"), "left")
+    return stored(joined.select("th", F.coalesce("label", "th").alias("class"), "rep", "n_rows"), "classes")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -298,12 +295,11 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     marked = classes.join(best, F.col("th") == F.col("_best"), "left")
     # texts that lose rows: all of them, or all but those of the least id
     losing = marked.where(F.col("_best").isNull() | (F.col("n_rows") > 1)).select(
-        F.col("th").alias("_th"), F.col("rep").alias("_rep"), F.col("_best").isNotNull().alias("_stays"),
-        (F.col("n_same") > 1).alias("_again"))
+        F.col("th").alias("_th"), F.col("rep").alias("_rep"), F.col("_best").isNotNull().alias("_stays"))
     rows = docs.withColumn("_d", digest())
     joined = rows.join(broadcast_if_bounded(losing), F.col("_d") == F.col("_th"), "left")
     kept = joined.where(
         F.col("_th").isNull() | (F.col("_stays") & F.col("doc_id").eqNullSafe(F.col("_rep"))))
-    kept = stored(kept.select(*docs.columns, "_d", F.coalesce("_again", F.lit(False)).alias("_again")), "kept")
+    kept = stored(kept.select(*docs.columns, "_d", F.col("_th").isNotNull().alias("_again")), "kept")
     once = kept.where(~F.col("_again")).select(*docs.columns)
     return once.unionByName(kept.where("_again").dropDuplicates(["_d"]).select(*docs.columns))
