@@ -7,6 +7,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -73,13 +74,18 @@ def second_level(app_flows: DataFrame, members: DataFrame, candidates=CANDIDATES
     sizes = {r["cluster"]: r["size"] for r in cluster_sizes(features).collect()}
     result = None
     for parent, size in sorted(sizes.items()):
-        usable = [k for k in candidates if k <= size]
-        if size <= MIN_GROUP or not usable:
+        if size <= MIN_GROUP:
             continue
         points = _normalised_points(features.where(F.col("cluster") == parent).drop("cluster"), APP_FEATURES)
-        scored = scores(points, usable)
-        best = max(scored, key=lambda k: scored[k][0])
-        level = _with_distance(scored[best][2], points).withColumn("parent", F.lit(parent))
+        # no more clusters than different points
+        different = points.select(*APP_FEATURES).distinct().limit(max(candidates)).count()
+        if different < 2:
+            level = points.withColumns({"cluster": F.lit(0), "distance": F.lit(0.0)})
+        else:
+            scored = scores(points, sorted({min(k, different) for k in candidates}))
+            best = max(scored, key=lambda k: scored[k][0])
+            level = _with_distance(scored[best][2], points)
+        level = level.withColumn("parent", F.lit(parent))
         result = level if result is None else result.unionByName(level)
     if result is None:
         empty = features.where("false").drop("cluster")
@@ -90,9 +96,17 @@ def second_level(app_flows: DataFrame, members: DataFrame, candidates=CANDIDATES
 
 
 def best_by_cost(points: DataFrame, most: int) -> tuple[int, KMeansModel]:
-    """Model of least within-cluster cost among 2..most clusters."""
+    """Model at the elbow of the within-cluster cost among 2..most clusters.
+
+    Cost falls with every further cluster; the elbow is the count whose cost lies farthest below the
+    straight line from one cluster to ``most``. With most = 2 that is 2.
+    """
     scored = {k: fit(points, k) for k in range(2, most + 1)}
-    best = min(scored, key=lambda k: scored[k].summary.trainingCost)
+    cost = {k: model.summary.trainingCost for k, model in scored.items()}
+    spread = points.select(Summarizer.metrics("variance", "count").summary(F.col("features")).alias("s")).first()["s"]
+    cost[1] = float(sum(spread["variance"])) * max(spread["count"] - 1, 0)
+    line = lambda k: cost[1] + (cost[most] - cost[1]) * (k - 1) / max(most - 1, 1)
+    best = max(range(2, most + 1), key=lambda k: (line(k) - cost[k], -k))
     return best, scored[best]
 
 

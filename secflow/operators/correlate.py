@@ -21,7 +21,7 @@ from secflow.functions.text import stable_id
 from secflow.operators.events import FLOW_APP, literal_condition
 from secflow.operators.parse import condition_atoms
 from secflow.operators.threshold import fire_chain, running, threshold_fire, threshold_members
-from secflow.plans.physical import COMPILE_ROWS, broadcast_if_bounded, collect_bounded, evaluated_once
+from secflow.plans.physical import broadcast_if_bounded, collect_to_compile, evaluated_once
 
 # Sub-rule kinds.
 DETAIL = "T_SIEM_MEDETAIL"
@@ -75,7 +75,8 @@ def detail_rules(rules: CompositeRules) -> DataFrame:
     details = rules.details.select(
         F.col("record_id").alias("detail_id"), F.col("med_id"), F.col("event_id").alias("watched_id"),
         F.col("time_limit").cast("long").alias("time_limit"), F.col("times").cast("long").alias("times"),
-        F.col("flag").cast("int").alias("flag"), F.col("field_name"), F.col("field_op"), F.col("field_value"))
+        F.col("flag").cast("int").alias("flag"), F.lower(F.trim("field_name")).alias("field_name"), F.col("field_op"),
+        F.col("field_value"))
     return (
         active_subs(rules).where(F.col("obj_table") == DETAIL)
         .join(details, F.col("sub_id") == F.col("med_id")).drop("med_id"))
@@ -90,7 +91,7 @@ def _hit_struct() -> Column:
 
 
 def event_hits(
-    events: DataFrame, rules: CompositeRules, strict: bool = True, compile_rows: int = COMPILE_ROWS
+    events: DataFrame, rules: CompositeRules, strict: bool = True, compile_rows: int = 0
 ) -> DataFrame:
     """Events plus ``hits``, the counted details each satisfies; events without any are dropped.
 
@@ -104,10 +105,9 @@ def event_hits(
     joined = events.join(
         broadcast_if_bounded(by_event), F.col("event_rule_id") == F.col("watched_id"), "left").drop("watched_id")
     field_rules = flat.where("flag = 1")
-    rows = collect_bounded(field_rules, compile_rows)
-    if rows is None:
+    if not compile_rows:
         every = field_rules.agg(F.collect_list(
-            F.struct(*_HIT, F.lower(F.trim("field_name")).alias("field_name"), "field_op",
+            F.struct(*_HIT, "field_name", "field_op",
                      F.coalesce("field_value", F.lit("")).alias("field_value"))).alias("rules"))
         joined = joined.withColumn("rules", every.scalar()).withColumn("values", rule_field_map("log."))
         satisfied = F.filter("rules", lambda r: F.coalesce(
@@ -120,7 +120,7 @@ def event_hits(
                 literal_condition(r.field_name, r.field_op, r.field_value, "", strict, "log."),
                 F.struct(*[F.lit(r[c]).cast("string").alias(c) for c in _HIT[:3]],
                          *[F.lit(r[c]).cast("long").alias(c) for c in _HIT[3:]]))
-            for r in rows]
+            for r in collect_to_compile(field_rules, compile_rows)]
         by_field = F.filter(F.array(*candidates), lambda h: h.isNotNull()) if candidates else F.array()
     by_field = F.when(F.col("is_inner") == "1", by_field.cast(_HIT_TYPE)).otherwise(F.array().cast(_HIT_TYPE))
     hits = F.concat(F.coalesce(F.col("event_rule_hits"), F.array().cast(_HIT_TYPE)), by_field)

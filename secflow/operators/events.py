@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.predicates import RULE_FIELDS, method_holds, rule_field_map, rule_field_text
 from secflow.functions.text import stable_id
-from secflow.plans.physical import COMPILE_ROWS, broadcast_if_bounded, collect_bounded, evaluated_once
+from secflow.plans.physical import broadcast_if_bounded, collect_to_compile, evaluated_once
 from secflow.schemas import EVENT_FIELDS, EXT_FIELDS, GENERAL_FIELDS
 
 # Fixed value: the reporting application of flow-derived events, stored with the user-defined origin.
@@ -85,8 +85,8 @@ def _definitions(defs: DataFrame, fields: DataFrame) -> DataFrame:
 
 
 def literal_condition(field: str | None, method, begin: str | None, end: str | None, strict: bool, prefix="") -> Column:
-    """A rule condition as an expression over general-log columns; unknown fields never hold."""
-    name = (field or "").strip().lower()
+    """A rule condition as an expression over general-log columns, by field name in lower case; unknown fields never hold."""
+    name = field or ""
     if name not in RULE_FIELDS:
         return F.lit(False)
     text = lambda v: F.lit("" if v is None else str(v))
@@ -95,25 +95,28 @@ def literal_condition(field: str | None, method, begin: str | None, end: str | N
 
 def user_events(
     logs: DataFrame, defs: DataFrame, fields: DataFrame, strict: bool = True,
-    with_log: bool = False, compile_rows: int = COMPILE_ROWS,
+    with_log: bool = False, compile_rows: int = 0,
 ) -> DataFrame:
     """Events of logs that satisfy all conditions of a user definition; the first in order wins.
 
-    A definition without conditions matches everything. Like log rules, definitions are compiled
-    into the scan when few and otherwise evaluated as an array of rules.
+    A definition without conditions matches everything. Definitions of one order number follow their
+    id. They are evaluated as an array of rules; ``compile_rows`` asks for literals in the plan instead,
+    for at most so many, with the same result.
     """
     rules = _definitions(defs, fields)
-    rows = collect_bounded(rules, compile_rows)
-    if rows is None:
+    if not compile_rows:
         ordered = rules.agg(F.array_sort(F.collect_list(F.struct(*rules.columns))).alias("rules"))
         holds = lambda c: F.coalesce(method_holds(
             c["method"], c["begin_value"], c["end_value"], F.col("values")[c["field"]], strict)
             & F.col("values")[c["field"]].isNotNull(), F.lit(False))
         logs = logs.withColumn("rules", ordered.scalar()).withColumn("values", rule_field_map())
-        rule = F.get(F.filter("rules", lambda r: F.forall(r["conditions"], holds)), F.lit(0))
+        place = F.aggregate(
+            F.sequence(F.lit(0), F.size("rules") - 1), F.lit(-1),
+            lambda found, k: F.when(found >= 0, found).when(F.forall(F.get("rules", k)["conditions"], holds), k).otherwise(found))
+        rule = F.get("rules", place)
         matched = evaluated_once(logs, "rule", rule)
     else:
-        rows = sorted(rows, key=lambda r: r.rule_ord)
+        rows = sorted(collect_to_compile(rules, compile_rows), key=lambda r: (r.rule_ord, r.event_rule_id or ""))
         number = F.when(F.lit(False), F.lit(0))
         for n, r in enumerate(rows):
             test = F.lit(True)

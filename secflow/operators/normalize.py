@@ -16,13 +16,14 @@ from pyspark.sql import types as T
 
 from secflow.functions.groups import MARK, compile_pattern
 from secflow.functions.text import blank_to_null, stable_id
-from secflow.plans.physical import COMPILE_ROWS, broadcast_if_bounded, collect_bounded, evaluated_once
+from secflow.plans.physical import broadcast_if_bounded, collect_to_compile, evaluated_once
 from secflow.schemas import CAPTURES, GENERAL_FIELDS, USER_GENERAL_FIELDS
 
 _RULE_CONSTANTS = ["log_rule_id", "event_def_id", "event_level", "report_ne_type", "event_id"]
 _HIT = "struct<rule_ord:bigint," + "".join(f"{c}:string," for c in _RULE_CONSTANTS) + "captures:array<string>>"
 _RULE = "struct<rule_ord:bigint,regex:string,idx:array<int>," + ",".join(f"{c}:string" for c in _RULE_CONSTANTS) + ">"
-_COMPILED = "struct<whole:string,template:string,idx:array<int>,group_count:int>"
+_COMPILED = "struct<regex:string,whole:string,template:string,idx:array<int>,group_count:int>"
+_ORDER = ("rule_ord", *_RULE_CONSTANTS, "regex")
 
 
 def _rule_columns(rules: DataFrame, device_scoped: bool) -> DataFrame:
@@ -38,7 +39,7 @@ def _rule_columns(rules: DataFrame, device_scoped: bool) -> DataFrame:
 
 def _compile(regex):
     c = compile_pattern(regex)
-    return c.whole, c.template, c.indexes, c.count
+    return c.regex, c.whole, c.template, c.indexes, c.count
 
 
 def _captures(content: Column, one_pass: Column, rule: str) -> Column:
@@ -56,7 +57,9 @@ def _hit(rule: str, captures: Column) -> Column:
 
 def _compiled_match(logs: DataFrame, rules: list, device_scoped: bool) -> DataFrame:
     content = F.col("content")
-    compiled = [(r, compile_pattern(r.regex)) for r in sorted(rules, key=lambda r: r.rule_ord)]
+    # ties as the array form orders them: nulls first, then by every column in turn
+    order = lambda r: [(r[c] is not None, r[c]) if r[c] is not None else (False,) for c in _ORDER]
+    compiled = [(r, compile_pattern(r.regex)) for r in sorted(rules, key=order)]
     compiled = [(r, p) for r, p in compiled if p.count > 0]
     if not compiled:
         return logs.withColumn("hit", F.lit(None).cast(_HIT))
@@ -88,28 +91,36 @@ def _array_match(logs: DataFrame, rules: DataFrame, device_scoped: bool) -> Data
     content = F.col("content")
     # on rule rows only, never on logs
     compiled = F.udf(_compile, _COMPILED)("regex")
-    prepared = rules.withColumn("p", compiled).where("p.group_count > 0").select("*", "p.*")
+    prepared = rules.withColumn("p", compiled).where("p.group_count > 0").drop("regex").select("*", "p.*")
     rule = F.struct("rule_ord", *_RULE_CONSTANTS, "regex", "whole", "template", "idx")
     lists = prepared.groupBy("device").agg(F.array_sort(F.collect_list(rule)).alias("rules"))
     if device_scoped:
         logs = logs.join(broadcast_if_bounded(lists), F.trim("report_ip") == F.col("device"), "left").drop("device")
     else:
         logs = logs.withColumn("rules", lists.select("rules").scalar())
-    first = F.get(F.filter("rules", lambda r: F.rlike(content, r["regex"])), F.lit(0))
+    # later rules are not tried once one has matched
+    place = F.aggregate(
+        F.sequence(F.lit(0), F.size("rules") - 1), F.lit(-1),
+        lambda found, k: F.when(found >= 0, found).when(F.rlike(content, F.get("rules", k)["regex"]), k).otherwise(found))
+    first = F.get("rules", place)
     matched = evaluated_once(logs, "rule", first).drop("rules")
     one_pass = F.split(F.regexp_replace(content, F.col("rule.whole"), F.col("rule.template")), MARK)
     return matched.withColumn("hit", _hit("rule", _captures(content, one_pass, "rule"))).drop("rule")
 
 
 def match_rules(
-    logs: DataFrame, rules: DataFrame, device_scoped: bool = True, compile_rows: int = COMPILE_ROWS
+    logs: DataFrame, rules: DataFrame, device_scoped: bool = True, compile_rows: int = 0
 ) -> DataFrame:
-    """Raw logs plus a ``hit`` struct: the first matching rule and its captures, all NULL for no match."""
+    """Raw logs plus a ``hit`` struct: the first matching rule and its captures, all NULL for no match.
+
+    Rules with one order number follow their other columns. Rule bases of any size travel as an
+    ordered array per device; ``compile_rows`` asks for literals in the plan instead, for at most so
+    many rules, with the same result.
+    """
     rules = _rule_columns(rules, device_scoped)
-    rows = collect_bounded(rules, compile_rows)
-    if rows is None:
+    if not compile_rows:
         return _array_match(logs, rules, device_scoped)
-    return _compiled_match(logs, rows, device_scoped)
+    return _compiled_match(logs, collect_to_compile(rules, compile_rows), device_scoped)
 
 
 def _general_columns() -> dict[str, Column]:
@@ -136,7 +147,7 @@ def _general_columns() -> dict[str, Column]:
 
 
 def normalize(
-    logs: DataFrame, rules: DataFrame, device_scoped: bool = True, compile_rows: int = COMPILE_ROWS
+    logs: DataFrame, rules: DataFrame, device_scoped: bool = True, compile_rows: int = 0
 ) -> DataFrame:
     """General logs of the raw logs some rule matches."""
     matched = match_rules(logs, rules, device_scoped, compile_rows)

@@ -75,7 +75,7 @@ def fire_marks(
     """
     rows = running(hits, [key], [ts, event])
     if mode == "cumulative":
-        return rows.withColumn("fired", F.coalesce(F.col("rn") % F.nullif(F.col(n), F.lit(0)) == 0, F.lit(False)))
+        return rows.withColumn("fired", F.coalesce((F.col("rn") % F.nullif(F.col(n), F.lit(0)) == 0) & (F.col(n) >= 1), F.lit(False)))
     marked = _within_limit(rows, key, ts, n, seconds)
     if mode == "windowed":
         return marked.withColumnRenamed("_within", "fired")
@@ -109,7 +109,8 @@ def _within_limit(rows: DataFrame, key: str, ts: str, n: str, seconds: str) -> D
     target = F.col("rn") - F.col(n) + 1
     joined = rows.join(earlier, (F.col(key) == F.col("_ekey")) & (target == F.col("_ern")), "left")
     gap = F.unix_micros(F.col(ts)) - F.unix_micros("_ets")
-    within = F.coalesce(gap <= F.col(seconds).cast("long") * 1_000_000, F.lit(False))
+    # a count below one, or none, never fires in any mode
+    within = F.coalesce((gap <= F.col(seconds).cast("long") * 1_000_000) & (F.col(n) >= 1), F.lit(False))
     return joined.withColumn("_within", within).drop("_ekey", "_ern", "_ets")
 
 

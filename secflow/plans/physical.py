@@ -7,8 +7,6 @@ import os
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-# A rule base up to this many rows is compiled into literal expressions.
-COMPILE_ROWS = 400
 # A dimension up to this size is broadcast; beyond it Spark picks the join.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -20,6 +18,14 @@ def collect_bounded(df: DataFrame, max_rows: int) -> list[Row] | None:
     return rows if len(rows) <= max_rows else None
 
 
+def collect_to_compile(df: DataFrame, max_rows: int) -> list[Row]:
+    """Rows of a rule table that the caller wants in the plan as literals; too many are an error."""
+    rows = collect_bounded(df, max_rows)
+    if rows is None:
+        raise ValueError(f"more than {max_rows} rules to compile into the plan")
+    return rows
+
+
 def broadcast_if_bounded(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:

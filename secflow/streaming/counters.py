@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
@@ -37,17 +37,26 @@ class BatchCounter:
 
     def fires(self, hits: DataFrame, batch_id: int) -> DataFrame:
         spark = hits.sparkSession
-        rows = hits
+        rows = hits.withColumn("_carried", F.lit(False))
         if batch_id > 0:
             open_hits = spark.read.schema(hits.schema).parquet(self._version(batch_id - 1))
-            rows = open_hits.unionByName(hits)
+            rows = open_hits.withColumn("_carried", F.lit(True)).unionByName(rows)
         marked = fire_marks(rows, self.key, self.ts, self.event, self.n, self.seconds, self.mode)
         last = marked.groupBy(F.col(self.key).alias("_k")).agg(
             F.max("rn").alias("_total"), F.coalesce(F.max(F.when(F.col("fired"), F.col("rn"))), F.lit(0)).alias("_last"))
+        # without reset the hits before a fire still count for the next
+        open_from = F.lit(0) if self.mode == "windowed" else F.col("_last")
         still = marked.join(broadcast_if_bounded(last), F.col(self.key) == F.col("_k")).where(
-            (F.col("rn") > F.col("_last")) & (F.col("rn") > F.col("_total") - F.col(self.n) + 1))
+            (F.col("rn") > open_from) & (F.col("rn") > F.col("_total") - F.col(self.n) + 1))
         still.select(*hits.columns).write.mode("overwrite").parquet(self._version(batch_id))
-        return marked.where("fired").select(*hits.columns)
+        self._prune(spark, batch_id - 2)
+        return marked.where("fired and not _carried").select(*hits.columns)
+
+    def _prune(self, spark: SparkSession, version: int) -> None:
+        """Remove a version that no replay can ask for: only the last batch may be replayed."""
+        if version >= 0:
+            path = spark._jvm.org.apache.hadoop.fs.Path(self._version(version))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stateful_fires(
@@ -67,6 +76,9 @@ def stateful_fires(
         open_times = list(state.get[0]) if state.exists else []
         fired = []
         for at, needed, limit in zip(rows[ts], rows[n], rows[seconds]):
+            if pd.isna(needed) or needed < 1:  # such a counter never fires, and keeps nothing
+                fired.append(False)
+                continue
             micros = at.value // 1000
             if mode == "windowed_reset":
                 open_times = [t for t in open_times if micros - t <= limit * 1_000_000]

@@ -98,7 +98,23 @@ def test_second_level_runs_inside_clusters(spark):
         "srcip string, dstip string, appproto string, method string")
     rows = clusters.second_level(flows, members, candidates=(2,)).select("parent", "ip", "cluster").collect()
     assert {r.parent for r in rows} == {0, 1} and len(rows) == 16 and {r.cluster for r in rows} == {0, 1}
-    assert clusters.second_level(flows, members, candidates=(40,)).count() == 0
+    # more clusters than members asked for: nobody is left out
+    assert clusters.second_level(flows, members, candidates=(40,)).count() == 16
+
+
+def test_groups_of_four_are_clustered(spark):
+    members = spark.createDataFrame([(f"i{i}", int(i >= 4)) for i in range(9)], "ip string, cluster int")
+    flows = spark.createDataFrame(
+        [(f"i{i}", "out", profile.APP_PROTOCOLS[i % 3], "GET") for i in range(9)],
+        "srcip string, dstip string, appproto string, method string")
+    rows = clusters.second_level(flows, members).collect()
+    assert sorted(r.ip for r in rows) == [f"i{i}" for i in range(9)]
+
+
+def test_elbow_finds_separate_groups(spark):
+    rows = [(x + dx, y + dy) for x, y in ((0.0, 0.0), (50.0, 0.0), (0.0, 50.0)) for dx in (0.0, 0.5, 1.0) for dy in (0.0, 0.5, 1.0)]
+    points = clusters.assemble(spark.createDataFrame(rows, "x double, y double"), ["x", "y"])
+    assert clusters.best_by_cost(points, 7)[0] == 3
 
 
 def test_centres_and_cost_choice(spark):

@@ -52,6 +52,12 @@ def test_modes_equal_loops(spark, mode):
     assert got == _loop(data, mode)
 
 
+@pytest.mark.parametrize("mode", ["cumulative", "windowed", "windowed_reset"])
+def test_counts_below_one_never_fire(spark, mode):
+    data = [(f"k{n}", dt.datetime(2024, 1, 1, 0, 0, k), f"e{k}", n, 60) for n in (0, -1, None) for k in range(4)]
+    assert threshold_fire(spark.createDataFrame(data, SCHEMA), "key", "ts", "event", mode=mode).count() == 0
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         threshold_fire(_hits(spark)[1], "key", "ts", "event", mode="other")
