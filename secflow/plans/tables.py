@@ -170,12 +170,14 @@ select cast(p_partkey as string) as record_id, cast(p_partkey % 100 as string) a
   concat('cve-', cast(p_size as string)) as leak_cve
 from {part}""",
     "intel": """
-select concat('192.168.', cast(c_custkey % 16 as string), '.', cast(c_custkey % 256 as string)) as attack_ip
-from {customer} where c_custkey % 7 = 0""",
+select concat(case when c_custkey % 7 = 0 then '192.168.' else '192.169.' end, cast(c_custkey % 16 as string), '.',
+  cast(c_custkey % 256 as string)) as attack_ip
+from {customer}""",
     "asset": "select s_suppkey as ne_id, cast(s_nationkey % 3 as int) as os_id from {supplier}",
     "asset_ip": """
-select s_suppkey as ne_id, concat('221.176.', cast(64 + s_suppkey % 18 as string), '.', cast(s_suppkey % 50 as string)) as device_ip
-from {supplier} where s_suppkey % 4 <> 0""",
+select s_suppkey as ne_id, concat(case when s_suppkey % 4 <> 0 then '221.176.' else '221.177.' end,
+  cast(64 + s_suppkey % 18 as string), '.', cast(s_suppkey % 50 as string)) as device_ip
+from {supplier}""",
     # one asset rule per supplier, for the lookup on its own
     "asset_rule": """
 select concat('ar', cast(s_suppkey as string)) as record_id, concat('sub', cast(s_suppkey as string)) as med_id,
@@ -186,7 +188,7 @@ select concat('ar', cast(s_suppkey as string)) as record_id, concat('sub', cast(
 from {supplier}""",
     "flow_stat": """
 select date_trunc('minute', ts) as stat_time, cast(sum(floor(value)) * 100 as bigint) as bytes
-from {events} where event_id % 3 = 0 group by date_trunc('minute', ts)""",
+from {events} group by date_trunc('minute', ts)""",
     "netflow": """
 select concat('221.176.', cast(60 + l_suppkey % 24 as string), '.', cast(l_suppkey % 256 as string)) as srcip,
   concat('221.176.', cast(64 + l_partkey % 40 as string), '.', cast(l_partkey % 256 as string)) as dstip,
@@ -204,12 +206,12 @@ select concat('221.176.', cast(60 + l_suppkey % 24 as string), '.', cast(l_suppk
   case l_returnflag when 'A' then 'GET' when 'N' then 'POST' else 'PUT' end as method
 from {lineitem}""",
     "registered": """
-select concat('221.176.', cast(60 + s_suppkey % 24 as string), '.', cast(s_suppkey % 256 as string)) as device_ip
-from {supplier} where s_suppkey % 3 = 0""",
+select concat(case when s_suppkey % 3 = 0 then '221.176.' else '221.177.' end, cast(60 + s_suppkey % 24 as string), '.',
+  cast(s_suppkey % 256 as string)) as device_ip
+from {supplier}""",
     "flow_cluster": """
 select ip, cast(case when ip like '%.7' then 9 else cast(split_part(ip, '.', 4) as int) % 4 end as int) as cluster
-from (select distinct srcip as ip from {netflow}
-      where srcip like '221.176.64.%' or srcip like '221.176.65.%' or srcip like '221.176.7_.%') as s""",
+from (select distinct srcip as ip from {netflow}) as s""",
     "flow_message": """
 select concat('[', '{{"SRCIP":"', srcip, '","DstIp":"', dstip, '","BYTES":', cast(bytes as string), '}}', ',',
   '{{"SRCIP":"', dstip, '","DstIp":"', srcip, '","BYTES":', cast(packets as string), '}}', ']') as value
@@ -225,15 +227,18 @@ from {orders}""",
 select s_suppkey as ne_id, cast(s_nationkey % 5 as int) as htype_id, cast(s_suppkey % 3 as int) as vendor_id,
   concat('m', cast(s_suppkey as string)) as model from {supplier}""",
     "store_asset_ip": """
-select s_suppkey as ne_id, concat('10.1.', cast(s_suppkey % 200 as string), '.', cast(s_suppkey % 251 as string)) as device_ip
-from {supplier} where s_suppkey % 4 <> 0
+select case when s_suppkey % 4 <> 0 then s_suppkey else -s_suppkey end as ne_id,
+  concat('10.1.', cast(s_suppkey % 200 as string), '.', cast(s_suppkey % 251 as string)) as device_ip
+from {supplier}
 union all
-select s_suppkey as ne_id, concat('10.2.', cast(s_suppkey % 200 as string), '.', cast(s_suppkey % 251 as string)) as device_ip
-from {supplier} where s_suppkey % 6 = 1""",
+select case when s_suppkey % 6 = 1 then s_suppkey else -s_suppkey end as ne_id,
+  concat('10.2.', cast(s_suppkey % 200 as string), '.', cast(s_suppkey % 251 as string)) as device_ip
+from {supplier}""",
     "store_lib": """
 select concat('lib', cast(s_suppkey as string)) as log_rule_lib_id, cast(s_nationkey % 5 as int) as htype_id,
-  cast(s_suppkey % 3 as int) as vendor_id, concat('m', cast(s_suppkey as string)) as model
-from {supplier} where s_suppkey % 5 <> 0""",
+  cast(s_suppkey % 3 as int) as vendor_id,
+  concat(case when s_suppkey % 5 <> 0 then 'm' else 'none' end, cast(s_suppkey as string)) as model
+from {supplier}""",
     "store_regex": """
 select concat('lr', cast(p_partkey as string)) as log_rule_id,
   concat('lib', cast(cast(floor(p_partkey / 15.0) as bigint) as string)) as log_rule_lib_id,
@@ -259,7 +264,7 @@ select cast(c_custkey as string) as recordid, cast(c_nationkey as string) as med
   case c_custkey % 3 when 0 then 'T_SIEM_MEDETAIL' when 1 then 'T_SIEM_MEDETAIL3' else 'T_SIEM_MEDETAIL4' end as objtable,
   cast(case when c_custkey % 5 = 0 then 0 else 1 end as int) as status from {customer}""",
     "event_name": "select p_partkey, case when p_size % 10 = 0 then ' ' else concat(p_name, ' 注入', p_brand) end as event_name from {part}",
-    "flow_index": "select l_orderkey as rowkey, l_shipdate as record_time from {lineitem} where l_linenumber = 1",
+    "flow_index": "select l_orderkey as rowkey, min(l_shipdate) as record_time from {lineitem} group by l_orderkey",
     "keyed_flow": """
 select l_orderkey as rowkey, l_partkey, l_suppkey, l_linenumber, cast(floor(l_extendedprice) as bigint) as bytes from {lineitem}""",
 }

@@ -5,10 +5,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from secflow.plans.oracles import oracle_sql
+from secflow.plans.queries import registry
 from secflow.plans.tables import GIVEN
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry(), oracle_sql()  # without add-ons, which have tests of their own
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,7 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
 
 
 def test_keys():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert set(QUERIES) - set(SQL) == {"asset_kmeans", "asset_kmeans_l2", "asset_silhouette"}
 
 
