@@ -11,6 +11,28 @@ from secflow.plans.physical import evaluated_once
 _MAP = "map<string,string>"
 
 
+#: Equal lines that one task writes out at a time.
+_COPIES = 10_000
+
+
+def with_occurrence(lines: DataFrame, value: str = "value", identity: str = "source_id") -> DataFrame:
+    """Lines of a source that names none: ``identity`` is their digest with an occurrence number.
+
+    Equal lines are interchangeable, so they are counted, with partial sums, and written out again in
+    blocks: no task holds the copies of a frequent line, and a retried task makes the same ids. A
+    source with offsets should pass those instead.
+    """
+    counted = lines.groupBy(value).agg(F.count("*").alias("_n"))
+    blocks = counted.select(
+        value, "_n", F.md5(F.coalesce(value, F.lit(""))).alias("_digest"),
+        F.explode(F.expr(f"sequence(0L, (_n - 1) div {_COPIES})")).alias("_block"))
+    spread = blocks.where("_block = 0").unionByName(blocks.where("_block > 0").repartition("_digest", "_block"))
+    first = F.col("_block") * _COPIES + 1
+    numbers = F.sequence(first, F.least(F.col("_n"), first + _COPIES - 1))
+    return spread.select(value, "_digest", F.explode(numbers).alias("_k")).select(
+        value, F.concat_ws("#", "_digest", "_k").alias(identity))
+
+
 def raw_parse(lines: DataFrame, value: str = "value", identity: Column | None = None) -> DataFrame:
     """``~``-joined log lines to raw-log columns.
 
@@ -52,9 +74,11 @@ def _lower_keys_with_id(flows: DataFrame, key: str) -> DataFrame:
 
 def flow_json_explode(messages: DataFrame, value: str = "value", identity: Column | None = None) -> DataFrame:
     """JSON arrays of flows to one map per flow: keys in lower case plus a ``recordid``."""
-    source = identity if identity is not None else F.col(value)
-    flows = messages.where(F.trim(value) != "").select(
-        source.alias("source"),
+    # one digest a message, not one a flow
+    source = identity if identity is not None else F.md5(value)
+    named = evaluated_once(messages.where(F.trim(value) != ""), "source", source)
+    flows = named.select(
+        "source",
         F.posexplode(F.from_json(value, f"array<{_MAP}>")).alias("position", "raw"))
     record_id = stable_id("flow", F.col("source"), F.col("position"))
     return _lower_keys_with_id(flows.select(record_id.alias("record_id"), "raw"), "recordid")

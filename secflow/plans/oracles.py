@@ -337,6 +337,11 @@ def _line_time(i: str) -> str:
     return f"try_strptime(trim({i}), '%Y-%m-%d %H:%M:%S')"
 
 
+def _named(name: str) -> str:
+    """Lines with their digest and occurrence number."""
+    return f"""(select value, md5(value) || '#' || row_number() over (partition by value) as source from {_f(name)})"""
+
+
 def oracle_sql() -> dict[str, str]:
     lines = _LINE.format(lines=_f("raw_line"))
     general_doc = {
@@ -354,9 +359,9 @@ def oracle_sql() -> dict[str, str]:
         "sourceport": "source_port", "destip": "dest_ip", "destport": "dest_port", "actionopt": "action_opt",
         "is_inner": "is_inner", "proto": "proto", **{c: c for c in EXT_FIELDS}}
     doc = lambda d: ", ".join(f"{e} as {n}" for n, e in d.items())
-    padded = f"""(select case when parts <= 6 then list_concat([md5(rtrim_value)], f) else f end as f from (
-      select f, len(f) as parts, value as rtrim_value from (
-        select string_split(rtrim(value, '~'), '~') as f, value from {_f('raw_line')}) where contains(value, '~')))"""
+    padded = f"""(select case when parts <= 6 then list_concat([md5(source)], f) else f end as f from (
+      select f, len(f) as parts, source from (
+        select string_split(rtrim(value, '~'), '~') as f, value, source from {_named('raw_line')}) where contains(value, '~')))"""
     sql = {
         "raw_parse": f"""select f[1] as log_id, {_line_time('f[2]')} as recv_time, f[3] as report_ip, f[4] as facility,
   f[5] as severity, f[6] as report_app, f[7] as content from {padded} where len(f) > 6""",
@@ -408,19 +413,19 @@ def oracle_sql() -> dict[str, str]:
         "corr_composite": _COMPOSITE,
         "corr_composite_members": _MEMBERS,
         "flow_json_explode": f"""with pair as (
-  select value, 0 as position, json_extract_string(value, '$[0].SRCIP') as srcip,
+  select source, 0 as position, json_extract_string(value, '$[0].SRCIP') as srcip,
     json_extract_string(value, '$[0].DstIp') as dstip, json_extract_string(value, '$[0].BYTES') as bytes
-  from {_f('flow_message')}
+  from {_named('flow_message')}
   union all
-  select value, 1, json_extract_string(value, '$[1].SRCIP'), json_extract_string(value, '$[1].DstIp'),
-    json_extract_string(value, '$[1].BYTES') from {_f('flow_message')})
-select md5('flow|' || value || '|' || position) as record_id, srcip, dstip, bytes,
-  md5('flow|' || value || '|' || position) as recordid from pair""",
-        "appflow_line_parse": f"""select md5('appflow|' || value) as record_id,
+  select source, 1, json_extract_string(value, '$[1].SRCIP'), json_extract_string(value, '$[1].DstIp'),
+    json_extract_string(value, '$[1].BYTES') from {_named('flow_message')})
+select md5('flow|' || source || '|' || position) as record_id, srcip, dstip, bytes,
+  md5('flow|' || source || '|' || position) as recordid from pair""",
+        "appflow_line_parse": f"""select md5('appflow|' || source) as record_id,
   json_extract_string(body, '$.SRCIP') as srcip, json_extract_string(body, '$.DSTIP') as dstip,
   json_extract_string(body, '$.AppProto') as appproto, json_extract_string(body, '$.METHOD') as method
-  from (select value, array_to_string(list_slice(string_split(value, ' '), 2, 1000), '') as body
-    from {_f('app_flow_line')})""",
+  from (select source, array_to_string(list_slice(string_split(value, ' '), 2, 1000), '') as body
+    from {_named('app_flow_line')})""",
         "ip_range_filter": f"""select srcip, {_number('srcip')} as src_number, dstip, srcport, start_time
   from {_f('netflow')} where {_in_ranges('srcip')}""",
         "netflow_range": f"""select srcip, dstip, proto, packets, bytes, record_time from {_f('netflow')}

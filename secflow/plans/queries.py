@@ -38,7 +38,7 @@ def registry() -> dict[str, Query]:
 
 @query
 def raw_parse(spark, sf_dir):
-    return parse.raw_parse(frame(spark, sf_dir, "raw_line"))
+    return parse.raw_parse(parse.with_occurrence(frame(spark, sf_dir, "raw_line")), identity=F.col("source_id"))
 
 
 def _general(spark, sf_dir):
@@ -232,13 +232,15 @@ def corr_composite_members(spark, sf_dir):
 @query
 def flow_json_explode(spark, sf_dir):
     return parse.flow_fields(
-        parse.flow_json_explode(frame(spark, sf_dir, "flow_message")), "srcip", "dstip", "bytes", "recordid")
+        parse.flow_json_explode(parse.with_occurrence(frame(spark, sf_dir, "flow_message")), identity=F.col("source_id")),
+        "srcip", "dstip", "bytes", "recordid")
 
 
 @query
 def appflow_line_parse(spark, sf_dir):
     return parse.flow_fields(
-        parse.appflow_line_parse(frame(spark, sf_dir, "app_flow_line")), "srcip", "dstip", "appproto", "method")
+        parse.appflow_line_parse(parse.with_occurrence(frame(spark, sf_dir, "app_flow_line")), identity=F.col("source_id")),
+        "srcip", "dstip", "appproto", "method")
 
 
 @query

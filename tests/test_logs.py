@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from secflow.functions.groups import MARK, compile_pattern
 from secflow.functions.text import ip_bounds, ip_in_any, ip_to_long, name_tokens
 from secflow.operators import normalize, parse
+from secflow.plans import queries
 from secflow.plans.tables import frame
 from secflow.schemas import GENERAL_FIELDS, USER_GENERAL_FIELDS
 from secflow.sources import sinks
@@ -204,3 +205,20 @@ def test_general_lines_fill_blanks(spark):
     line = sinks.general_log_lines(rows).first().value.split("~")
     assert len(line) == 37 and line[0] == line[1] and line[5] == " " and line[32] == "b"
     assert line[2] == "2024-01-01 00:00:00"
+
+
+def test_equal_lines_get_their_own_ids(spark, monkeypatch):
+    monkeypatch.setattr(parse, "_COPIES", 4)
+    lines = spark.createDataFrame([("2024-01-01 00:00:00~ip~f~s~app~same",)] * 11 + [("2024-01-01 00:00:00~ip~f~s~app~other",), (None,)], "value string")
+    named = parse.with_occurrence(lines)
+    ids = sorted(r.source_id for r in named.collect())
+    assert len(set(ids)) == 13 and ids == sorted(r.source_id for r in parse.with_occurrence(lines.repartition(3)).collect())
+    rows = parse.raw_parse(named, identity=F.col("source_id")).collect()
+    assert len(rows) == 12 and len({r.log_id for r in rows}) == 12
+
+
+@pytest.mark.parametrize("name", ["raw_parse", "flow_json_explode", "appflow_line_parse"])
+def test_ids_are_unique(spark, name):
+    rows = queries.registry()[name](spark, "/root/testdata/sf0.001")
+    key = "log_id" if name == "raw_parse" else "record_id"
+    assert rows.count() == rows.select(key).distinct().count() > 0
