@@ -28,7 +28,7 @@ SAMPLE = 1500
 SAMPLE_WINDOWS = 64
 THRESHOLD = 0.7
 EPOCHS = 6
-KEPT_WORDS = 200_000
+KEPT_WORDS = 300_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -45,10 +45,24 @@ def word_row(word: str) -> int:
     return zlib.crc32(word.encode()) % WORD_ROWS
 
 
-def char_rows(word: str) -> list[int]:
-    marked = f"^{word[:64]}$"
-    return [
-        zlib.crc32(marked[k:k + n].encode()) % CHAR_ROWS for n in (3, 4, 5) for k in range(max(len(marked) - n + 1, n == 3))]
+def char_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the hashed groups of 3 to 5 bytes of every word, ends marked, and where each word's begin."""
+    data = [f"^{w[:64]}$".encode() for w in words]
+    raw = np.frombuffer(b"".join(data) + b"\0" * 8, np.uint8).astype(np.uint64)
+    sizes = np.fromiter(map(len, data), np.int64, len(data))
+    owner, length = np.repeat(np.arange(len(data)), sizes), int(sizes.sum())
+    left = np.cumsum(sizes)[owner] - np.arange(length)
+    owners, rows = [], []
+    for n in (3, 4, 5):
+        code = np.full(length, n, np.uint64)
+        for k in range(n):
+            code = code * np.uint64(0x100000001B3) + raw[k:length + k]
+        code = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        rows.append(((code >> np.uint64(40)) % np.uint64(CHAR_ROWS)).astype(np.int64)[left >= n])
+        owners.append(owner[left >= n])
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    counts = np.bincount(np.concatenate(owners), minlength=len(data))
+    return np.concatenate(rows)[order], np.cumsum(counts) - counts
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -121,7 +135,7 @@ def pooled(states: np.ndarray, mask: np.ndarray, p: Params):
 
 
 class Words:
-    """Numbers of words, with their feature rows, and optionally their projections by fixed parameters."""
+    """Numbers of words, 0 for none, with their hashed rows; with parameters, their projections instead."""
 
     def __init__(self, p: Params | None = None, kept: int = KEPT_WORDS):
         self.p, self.kept = p, kept
@@ -129,32 +143,45 @@ class Words:
 
     def clear(self) -> None:
         self.numbers: dict[str, int] = {"": 0}
-        self.rows: list[tuple[int, list[int]]] = [(0, [0])]
-        self.table = np.zeros((1, 6 * HIDDEN), np.float32)
+        self.rows: list[tuple[int, np.ndarray]] = [(0, np.zeros(1, np.int64))]
+        self.table = np.zeros((1024, 6 * HIDDEN), np.float32)
 
     def number(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Word numbers of each text; the table is ready for all of them."""
-        new = [w for w in dict.fromkeys(w for t in texts for w in t) if w not in self.numbers]
+        met = set().union(*texts)
+        new = sorted(met - self.numbers.keys())
         if self.p is not None and len(self.numbers) + len(new) > self.kept:
             self.clear()
-            new = list(dict.fromkeys(w for t in texts for w in t))
-        for w in new:
-            self.numbers[w] = len(self.rows)
-            self.rows.append((word_row(w), char_rows(w)))
-        if self.p is not None and new:
-            inputs = features(self.rows[-len(new):], self.p)
-            projected = np.concatenate([inputs @ self.p["x" + d] + self.p["c" + d] for d in "fb"], axis=1)
-            self.table = np.concatenate((self.table, projected.astype(np.float32)))
+            new = sorted(met - self.numbers.keys())
+        if new:
+            start = len(self.numbers)
+            self.numbers.update(zip(new, range(start, start + len(new)), strict=True))
+            own = np.fromiter(map(word_row, new), np.int64, len(new))
+            flat, begins = char_rows(new)
+            if self.p is None:
+                self.rows += list(zip(own.tolist(), np.split(flat, begins[1:]), strict=True))
+            else:
+                while len(self.table) < len(self.numbers):
+                    self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+                self.table[start:len(self.numbers)] = projections(_features(own, flat, begins, self.p), self.p)
         at = self.numbers.__getitem__
         return [np.fromiter(map(at, t), np.int64, len(t)) for t in texts]
 
 
-def features(rows: list[tuple[int, list[int]]], p: Params) -> np.ndarray:
-    flat = np.fromiter((c for _, cs in rows for c in cs), np.int64)
+def _features(own: np.ndarray, flat: np.ndarray, begins: np.ndarray, p: Params) -> np.ndarray:
+    counts = np.diff(np.concatenate((begins, [len(flat)])))
+    chars = np.add.reduceat(p["chars"][flat], begins, axis=0) / counts[:, None]
+    return np.concatenate((p["words"][own], chars), axis=1).astype(np.float32)
+
+
+def features(rows: list[tuple[int, np.ndarray]], p: Params) -> np.ndarray:
     counts = np.fromiter((len(cs) for _, cs in rows), np.int64, len(rows))
-    starts = np.cumsum(counts) - counts
-    chars = np.add.reduceat(p["chars"][flat], starts, axis=0) / counts[:, None]
-    return np.concatenate((p["words"][[w for w, _ in rows]], chars), axis=1).astype(np.float32)
+    own = np.fromiter((w for w, _ in rows), np.int64, len(rows))
+    return _features(own, np.concatenate([cs for _, cs in rows]), np.cumsum(counts) - counts, p)
+
+
+def projections(inputs: np.ndarray, p: Params) -> np.ndarray:
+    return np.concatenate([inputs @ p["x" + d] + p["c" + d] for d in "fb"], axis=1).astype(np.float32)
 
 
 def windows(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +243,7 @@ def gradients(grid: np.ndarray, labels: np.ndarray, weights: np.ndarray, words:
     g["words"], g["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
     np.add.at(g["words"], [w for w, _ in rows], d_inputs[:, :WORD_DIM])
     counts = np.array([len(cs) for _, cs in rows])
-    np.add.at(g["chars"], [c for _, cs in rows for c in cs], np.repeat(d_inputs[:, WORD_DIM:] / counts[:, None], counts, axis=0))
+    np.add.at(g["chars"], np.concatenate([cs for _, cs in rows]), np.repeat(d_inputs[:, WORD_DIM:] / counts[:, None], counts, axis=0))
     return loss, g
 
 
@@ -232,10 +259,11 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
         return p, -5.0 if not len(labels) or labels.max() == 0 else 5.0
     # one input of words and one of character groups start at their log-odds in the sample
     totals = np.array([(labels == 0).sum(), (labels == 1).sum()])
-    for name, rows_of in (("words", lambda x: (words.rows[x][0],)), ("chars", lambda x: words.rows[x][1])):
+    rows_of = {"words": [np.array([w]) for w, _ in words.rows], "chars": [cs for _, cs in words.rows]}
+    for name in ("words", "chars"):
         seen = np.zeros((2, len(p[name])))
         for k, n in enumerate(numbers):
-            seen[int(labels[k]), list({r for x in np.unique(n) for r in rows_of(x)})] += 1
+            seen[int(labels[k]), np.unique(np.concatenate([rows_of[name][x] for x in np.unique(n)] or [np.zeros(0, np.int64)]))] += 1
         odds = np.log((seen[1] + 1) / (totals[1] + 2)) - np.log((seen[0] + 1) / (totals[0] + 2))
         p[name][:, 0] = np.clip(np.where(seen.sum(axis=0) > 3, odds, 0), -3, 3)
     by_number = features(words.rows, p)[:, [0, WORD_DIM]].sum(axis=1)
@@ -276,8 +304,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
 def _projected(words: Words, p: Params) -> Words:
     out = Words(p)
     out.numbers, out.rows = words.numbers, words.rows
-    inputs = features(words.rows, p)
-    out.table = np.concatenate([inputs @ p["x" + d] + p["c" + d] for d in "fb"], axis=1).astype(np.float32)
+    out.table = projections(features(words.rows, p), p)
     return out
 
 
