@@ -8,26 +8,17 @@ from pyspark.sql import functions as F
 from secflow.functions.text import ip_to_long, number_in_any, stable_id
 from secflow.plans.physical import broadcast_if_bounded, evaluated_once
 
-# Monitored address ranges.
-MONITORED_RANGES = [
-    "221.176.64.00-221.176.64.255",
-    "221.176.65.00-221.176.65.255",
-    "221.176.68.00-221.176.68.255",
-    "221.176.70.00-221.176.79.255",
-    "221.176.69.1-221.176.69.11",
-]
-
 # How a flow is ordered among the sightings of one address.
 SIGHTING_ORDER = ["record_time", "port", "protocol", "packets"]
 
 
-def in_ranges(rows: DataFrame, ip: str, ranges: list[str] = MONITORED_RANGES) -> DataFrame:
+def in_ranges(rows: DataFrame, ip: str, ranges: list[str]) -> DataFrame:
     """Rows whose address lies in a range, with the address as ``ip_number``."""
     numbered = evaluated_once(rows, "ip_number", ip_to_long(F.col(ip)))
     return numbered.where(number_in_any(F.col("ip_number"), ranges))
 
 
-def flows_in_ranges(flows: DataFrame, ranges: list[str] = MONITORED_RANGES) -> DataFrame:
+def flows_in_ranges(flows: DataFrame, ranges: list[str]) -> DataFrame:
     """Flows with a monitored end, and which end: the source counts first."""
     both = F.struct(ip_to_long(F.col("srcip")).alias("src"), ip_to_long(F.col("dstip")).alias("dst"))
     numbered = evaluated_once(flows, "ends", both)
@@ -37,7 +28,7 @@ def flows_in_ranges(flows: DataFrame, ranges: list[str] = MONITORED_RANGES) -> D
     return evaluated_once(numbered, "side", side).where("side is not null").drop("ends")
 
 
-def sightings(flows: DataFrame, ranges: list[str] = MONITORED_RANGES) -> DataFrame:
+def sightings(flows: DataFrame, ranges: list[str]) -> DataFrame:
     """Flows that prove a monitored address is alive: any source traffic but ICMP, or TCP of at
     least three packets towards it."""
     near = flows_in_ranges(flows, ranges)
@@ -51,8 +42,8 @@ def sightings(flows: DataFrame, ranges: list[str] = MONITORED_RANGES) -> DataFra
 
 
 def discover_assets(
-    flows: DataFrame, registered: DataFrame, discovered: DataFrame | None = None,
-    ranges: list[str] = MONITORED_RANGES, include_known: bool = False,
+    flows: DataFrame, registered: DataFrame, ranges: list[str], discovered: DataFrame | None = None,
+    include_known: bool = False,
 ) -> DataFrame:
     """First sighting of every monitored address that is neither registered nor already discovered.
 

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from secflow.functions.text import epoch_millis, euclidean, ip_prefix
 from secflow.plans.physical import broadcast_if_bounded
 
-# Monitored /24 prefixes.
-MONITORED_PREFIXES = [f"221.176.{i}" for i in (64, 65, 68, *range(70, 80))]
 # Protocol -> code.
 PROTO_CODES = {"TCP": 1, "UDP": 2, "ICMP": 3, "GRE": 4}
 # Feature names of the first and second clustering level, in stored order.
@@ -31,7 +29,7 @@ def monitored_end(prefixes: list[str]) -> Column:
         .when(ip_prefix(F.col("dstip")).isin(prefixes), F.col("dstip")))
 
 
-def flow_profile(flows: DataFrame, prefixes: list[str] = MONITORED_PREFIXES) -> DataFrame:
+def flow_profile(flows: DataFrame, prefixes: list[str]) -> DataFrame:
     """Duration, packets, bytes and flows per protocol of each monitored address."""
     rows = flows.select(
         monitored_end(prefixes).alias("ip"), duration_ms().alias("ms"), "packets", "bytes", "proto"
@@ -47,7 +45,7 @@ def _app_counts() -> list[Column]:
     return protocols + [F.count(F.when(F.col("method") == m, 1)).alias(m) for m in METHODS]
 
 
-def app_profile(flows: DataFrame, prefixes: list[str] = MONITORED_PREFIXES) -> DataFrame:
+def app_profile(flows: DataFrame, prefixes: list[str]) -> DataFrame:
     """Flows per application protocol and method of each monitored address."""
     rows = flows.select(monitored_end(prefixes).alias("ip"), "appproto", "method").where("ip is not null")
     return rows.groupBy("ip").agg(*_app_counts())

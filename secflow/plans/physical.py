@@ -47,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master.partition("[")[0] != "local":  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = os.path.join("/tmp", f"secflow-checkpoints-{os.getpid()}")
     context.setCheckpointDir(folder)

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from secflow.functions.text import name_tokens
 from secflow.operators import alarms, assets, clusters, correlate, events, normalize, parse, profile, threshold
-from secflow.plans.tables import composite_rules, context, corr_events, frame
+from secflow.plans.tables import (
+    MONITORED_PREFIXES, MONITORED_RANGES, composite_rules, context, corr_events, frame)
 from secflow.sources import readers, rules, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,7 +246,7 @@ def appflow_line_parse(spark, sf_dir):
 
 @query
 def ip_range_filter(spark, sf_dir):
-    return assets.in_ranges(frame(spark, sf_dir, "netflow"), "srcip").select(
+    return assets.in_ranges(frame(spark, sf_dir, "netflow"), "srcip", MONITORED_RANGES).select(
         "srcip", F.col("ip_number").alias("src_number"), "dstip", "srcport", "start_time")
 
 
@@ -258,17 +259,17 @@ def netflow_range(spark, sf_dir):
 
 @query
 def asset_discovery(spark, sf_dir):
-    return assets.discover_assets(frame(spark, sf_dir, "netflow"), frame(spark, sf_dir, "registered"))
+    return assets.discover_assets(frame(spark, sf_dir, "netflow"), frame(spark, sf_dir, "registered"), MONITORED_RANGES)
 
 
 @query
 def asset_flow_profile(spark, sf_dir):
-    return profile.flow_profile(frame(spark, sf_dir, "netflow"))
+    return profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES)
 
 
 @query
 def asset_app_profile(spark, sf_dir):
-    return profile.app_profile(frame(spark, sf_dir, "app_flow"))
+    return profile.app_profile(frame(spark, sf_dir, "app_flow"), MONITORED_PREFIXES)
 
 
 @query
@@ -283,7 +284,7 @@ def _rounded(df, names):
 @query
 def asset_minmax(spark, sf_dir):
     names = profile.FLOW_FEATURES
-    scaled = profile.min_max_normalize(profile.flow_profile(frame(spark, sf_dir, "netflow")), names)
+    scaled = profile.min_max_normalize(profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES), names)
     return _rounded(scaled, [n + "_nor" for n in names]).select("ip", *[n + "_nor" for n in names])
 
 
@@ -309,7 +310,7 @@ def flow_index_lookup(spark, sf_dir):
 def _clustered(spark, sf_dir):
     """Profiles with a cluster label taken from the address, and the mean of each cluster."""
     octet = F.substring_index("ip", ".", -1).cast("int")
-    points = profile.flow_profile(frame(spark, sf_dir, "netflow")).withColumn("cluster", octet % 3)
+    points = profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES).withColumn("cluster", octet % 3)
     return points, points.groupBy("cluster").agg(*[F.avg(n).alias(n) for n in profile.FLOW_FEATURES])
 
 
@@ -329,7 +330,7 @@ def asset_cluster_sizes(spark, sf_dir):
 
 @query
 def asset_kmeans(spark, sf_dir):
-    features = profile.flow_profile(frame(spark, sf_dir, "netflow"))
+    features = profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES)
     return clusters.first_level(features).select("ip", "cluster", F.round("distance", 6).alias("distance"))
 
 
@@ -341,7 +342,7 @@ def asset_kmeans_l2(spark, sf_dir):
 
 @query
 def asset_silhouette(spark, sf_dir):
-    features = profile.flow_profile(frame(spark, sf_dir, "netflow"))
+    features = profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES)
     return clusters.silhouette_table(features, range(3, 6))
 
 

@@ -16,6 +16,16 @@ from pyspark.sql import types as T
 from secflow.operators.correlate import CompositeRules, Context
 from secflow.schemas import GENERAL_FIELDS
 
+# The site whose addresses these tables use, as ranges and as /24 prefixes.
+MONITORED_RANGES = [
+    "221.176.64.00-221.176.64.255",
+    "221.176.65.00-221.176.65.255",
+    "221.176.68.00-221.176.68.255",
+    "221.176.70.00-221.176.79.255",
+    "221.176.69.1-221.176.69.11",
+]
+MONITORED_PREFIXES = [f"221.176.{i}" for i in (64, 65, 68, *range(70, 80))]
+
 GIVEN = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations"]

@@ -23,6 +23,7 @@ def raw_log_docs(lines: DataFrame, value: str = "value") -> DataFrame:
         item(6).alias("logcontent"), flag.alias("ismatch"))
 
 
+# Field names of stored logs -> columns.
 _GENERAL_DOC = {
     "recordid": "record_id", "reportapp": "report_app", "reportip": "report_ip", "sourceip": "source_ip",
     "sourceport": "source_port", "destip": "dest_ip", "destport": "dest_port", "eventaction": "event_action",
@@ -45,6 +46,7 @@ def general_log_docs(logs: DataFrame, user: bool = False) -> DataFrame:
         *[F.col(c).alias(n) for n, c in _GENERAL_DOC.items()], tokens.alias("eventname2"), *extension)
 
 
+# Field names of stored events -> columns.
 _EVENT_DOC = {
     "event_rule_result_id": "event_result_id", "logid": "log_id", "event_rule_name": "event_rule_name",
     "event_rule_level": "event_rule_level", "reportneip": "report_ip", "sourceip": "source_ip",

@@ -4,7 +4,7 @@ import math
 from pyspark.sql import functions as F
 
 from secflow.operators import assets, clusters, profile
-from secflow.plans.tables import frame
+from secflow.plans.tables import MONITORED_PREFIXES, MONITORED_RANGES, frame
 from secflow.sources import readers
 
 T0 = dt.datetime(2024, 1, 1)
@@ -29,19 +29,19 @@ def test_discovery_rules(spark):
         _flow(far, edge, "TCP", 2), _flow(far, edge, "TCP", 3, at=5, dport=80), _flow(far, "221.176.69.12", "TCP", 9),
         _flow("221.176.70.1", "221.176.70.2", "ICMP"), _flow(far, "221.176.65.1"), _flow("221.176.68.3", far))
     known = spark.createDataFrame([("221.176.65.1",), (None,)], "device_ip string")
-    rows = {r.ip: r for r in assets.discover_assets(flows, known).collect()}
+    rows = {r.ip: r for r in assets.discover_assets(flows, known, MONITORED_RANGES).collect()}
     # a monitored source shadows the destination, even when the flow itself does not qualify
     assert set(rows) == {near, edge, "221.176.68.3"}
     assert (rows[near].port, rows[near].storage_time) == (9, T0 + dt.timedelta(seconds=1))
     assert (rows[edge].port, rows[edge].package_num, rows[edge].is_new) == (80, 3, 1)
     found = spark.createDataFrame([(edge,)], "ip string")
-    flagged = assets.discover_assets(flows, known, found, include_known=True).collect()
+    flagged = assets.discover_assets(flows, known, MONITORED_RANGES, found, include_known=True).collect()
     assert {(r.ip, r.is_new) for r in flagged} == {(near, 1), ("221.176.68.3", 1), ("221.176.65.1", 0)}
 
 
 def test_flow_profile(spark):
     flows = _flows(spark, _flow("221.176.64.1", "221.176.65.1"), _flow("1.1.1.1", "221.176.65.1", "GRE"), _flow("221.176.66.1", "1.1.1.1"))
-    rows = {r.ip: r for r in profile.flow_profile(flows).collect()}
+    rows = {r.ip: r for r in profile.flow_profile(flows, MONITORED_PREFIXES).collect()}
     assert set(rows) == {"221.176.64.1", "221.176.65.1"}
     r = rows["221.176.65.1"]
     assert (r.time, r.packernum, r.bytesize, r.TCP, r.GRE) == (1500, 5, 100, 0, 1)
@@ -81,7 +81,7 @@ def test_unknown_protocols_leave_the_flow_model(spark):
 
 
 def test_first_level_clusters(spark):
-    features = profile.flow_profile(frame(spark, SF, "netflow"))
+    features = profile.flow_profile(frame(spark, SF, "netflow"), MONITORED_PREFIXES)
     level = clusters.first_level(features, candidates=(2, 3))
     rows = level.select("ip", "cluster", "distance").collect()
     assert len(rows) == features.count() and all(r.distance >= 0 for r in rows)
@@ -135,9 +135,9 @@ def test_lookup_by_index(spark):
 
 
 def test_profile_aggregates_before_the_shuffle(spark):
-    plan = profile.flow_profile(frame(spark, SF, "netflow"))._jdf.queryExecution().executedPlan().toString()
+    plan = profile.flow_profile(frame(spark, SF, "netflow"), MONITORED_PREFIXES)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") == 2 and "Python" not in plan
     assert "l_tax" not in plan.split("ReadSchema")[1]
-    discovery = assets.discover_assets(frame(spark, SF, "netflow"), frame(spark, SF, "registered"))
+    discovery = assets.discover_assets(frame(spark, SF, "netflow"), frame(spark, SF, "registered"), MONITORED_RANGES)
     assert "BroadcastHashJoin" in discovery._jdf.queryExecution().executedPlan().toString()
     assert discovery.where(F.col("ip").isNull()).count() == 0
