@@ -28,7 +28,7 @@ UNKNOWN = "und"
 #: the deviation of a mean over n characters being taken as s / sqrt(n) next to the rows' own spread.
 REJECT_DEVIATIONS = 12.0
 #: Texts are scored in slices of this many characters, so that memory does not follow their length.
-SLICE = 1 << 20
+SLICE = 1 << 17
 
 _CLASSES = 1 << CLASS_BITS
 

@@ -29,7 +29,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with probability 5e-6
 M = BANDS * ROWS
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 700_000
 
 _U = np.uint64
 
