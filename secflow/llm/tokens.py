@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from secflow.llm.common import per_process
 
-#: Units kept by a worker before it starts anew.
-KEPT_UNITS = 1_000_000
+#: Units kept by a worker. When they are full, only the shorter ones stay, which are met most.
+KEPT_UNITS = 300_000
+SHORT_UNIT = 7
 #: Bytes of text that are handled together; a longer text is cut at safe boundaries.
 BATCH_BYTES = 4_000_000
 
@@ -98,8 +99,11 @@ class Vocabulary:
         if not new:
             return
         if len(known) + len(new) > self.kept:
+            short = {u: v for u, v in known.items() if len(u) <= SHORT_UNIT}
             known.clear()
-            new = list(units)
+            if len(short) <= self.kept // 2:
+                known.update(short)
+            new = [u for u in units if u not in known]
         # a full stop or comma after a letter is a piece of its own
         split = {u: u[:-1] for u in new if len(u) < 200 and _WORD_THEN_STOP.fullmatch(u)}
         base = {split.get(u, u) for u in new} - known.keys()
