@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow.llm.common import WORD, stored
+from secflow.plans.physical import broadcast_if_bounded
 
 #: Hash buckets per source and level. Two levels divide a source into 16 million parts.
 BUCKETS = 4096
@@ -110,11 +111,12 @@ def mixed(
     level1 = stored(level1, "mix-cut")
     keyed = spread.withColumn("_key", key)
     at_cut = keyed.select("_key", "_b1", "_b2", "size").join(
-        level1.select("_key", "_b1_cut", "_left1"), "_key").where(F.col("_b1") == F.col("_b1_cut"))
+        broadcast_if_bounded(level1.select("_key", "_b1_cut", "_left1")), "_key").where(F.col("_b1") == F.col("_b1_cut"))
     sums2 = at_cut.groupBy("_key", "_b2").agg(F.sum("size").alias("_size"), F.first("_left1").alias("_left1"))
     cut2 = _cut_bucket(sums2, ["_key"], "_left1", "_b2")
     cuts = level1.join(cut2, "_key", "left")
-    joined = keyed.join(cuts, "_key")
+    # one row a source: broadcast when its measured size allows, so that a hot source stays where it is
+    joined = keyed.join(broadcast_if_bounded(cuts), "_key")
     part = F.floor(F.col("size") * F.col("_left") / F.col("_there")).cast("long")
     more = (
         F.when(F.col("_b1_cut").isNull(), F.lit(0).cast("long"))

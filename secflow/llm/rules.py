@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from secflow.llm.common import WORD, stored, text_or_empty
-from secflow.plans.physical import evaluated_once
+from secflow.plans.physical import broadcast_if_bounded, evaluated_once
 
 #: A source is refused when its shrunk failure rate is above this, for any rule or for all together.
 MAX_RATE = 0.6
@@ -99,7 +99,7 @@ def quality(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
         F.coalesce(F.concat(F.lit("+"), "source"), F.lit("-")).alias("_key"), bad.alias("_bad"),
         F.col("rate_base_failed").alias("host_rate"))
     keyed = base.withColumn("_key", F.coalesce(F.concat(F.lit("+"), "source"), F.lit("-")))
-    joined = keyed.join(refused, "_key", "left")
+    joined = keyed.join(broadcast_if_bounded(refused), "_key", "left")  # one row a source
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.coalesce("_bad", F.lit(False))).alias("kept"))
