@@ -5,11 +5,11 @@ one of ``M`` components, and a component keeps the shingle that arrives first. A
 its next arrival comes after every component's first (early termination). Two texts agree in a
 component with the probability Jaccard similarity of their weighted shingles.
 
-Equal texts are one node, found by digest. Nodes that share a band meet in a bucket; members are
-compared with the bucket's pivot, not with each other, and the Jaccard similarity of the shingle sets
-is computed exactly. The pivot is the member that meets most others. Members that fail go on without
-it, then divided by further bands, until every bucket is used up: no bucket is capped. A pair of high
-similarity meets in several bands, each with other company. Verified pairs form components.
+Equal texts are one node, found by digest. Nodes that share a band meet in a bucket; first its members
+are compared with a few pivots, and the Jaccard similarity of the shingle sets is computed exactly.
+The pivot is the member that meets most others. Members that stay in different components, linked to a
+pivot or not, then go through an exact join of sets by prefixes: no bucket is capped and no pair of
+one is left out, save pairs already connected. Verified pairs form components.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with probability 5e-6
 M = BANDS * ROWS
 BATCH_BYTES = 700_000
+PIVOTS = 2  # members of a bucket that are compared with all its others, one after the other
+CELLS = 1 << 20  # counters of shingles, by which the rarer come first
+BLOCK = 256  # holders of one shingle that a group of the join has on one side
 
 _U = np.uint64
 
@@ -207,38 +210,109 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified pairs (a, b) of different texts; ``nodes`` has th, n and bands."""
+    """Verified pairs (a, b) of different texts; ``nodes`` has th, n and bands.
+
+    The pairs connect all texts of a bucket that similar texts connect; pairs already connected are not compared.
+    """
     members = nodes.where("n > 0").select("th", "n", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1")
     members = stored(members.join(shared, ["band", "key"]), "buckets")
     # the text that meets most others stands in the middle of its group: it makes the best pivot
     degree = members.groupBy("th").agg(F.sum("c").alias("degree"))
     sets = stored(_sets(docs, degree.select("th")), "shingle-sets")
-    members = members.join(degree, "th").select("th", "n", "degree", "band", "key")
-    found, turn = None, 0
-    while True:
-        chosen = members.groupBy("band", "key").agg(
-            F.max(F.struct("degree", "th", "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
-        chosen = chosen.select("band", "key", F.col("p.th").alias("pivot"), F.col("p.n").alias("pn"))
-        met = stored(members.join(chosen, ["band", "key"]).where("th <> pivot"), "met")
+    members = members.join(degree, "th").select(
+        "th", "n", "degree", "band", "key", F.col("th").alias("label"), F.lit(True).alias("apart"))
+    found = docs.sparkSession.createDataFrame([], "a string, b string")
+    for _ in range(PIVOTS):
+        chosen = members.groupBy("band", "key").agg(F.max(F.struct("apart", "degree", "th", "n", "label")).alias("p"))
+        chosen = chosen.select(
+            "band", "key", F.col("p.th").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.label").alias("pl"))
+        met = stored(members.join(chosen, ["band", "key"]).where("th <> pivot").drop("apart"), "met")
         if met.isEmpty():
-            return found.distinct() if found is not None else docs.sparkSession.createDataFrame([], "a string, b string")
+            return found
         # sets of sizes further apart than the similarity cannot reach it
         near = F.least("n", "pn") >= similarity * F.greatest("n", "pn") - 1e-9
-        pairs = met.where(near).select(F.least("th", "pivot").alias("a"), F.greatest("th", "pivot").alias("b")).distinct()
-        new = stored(_verified(pairs, sets, similarity), "links")
-        found = new if found is None else found.unionByName(new)
-        # members that do not belong to the pivot go on without it; from the second time on, only with
-        # those that share further bands, twice as many each time
-        linked = new.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.lit(True).alias("ok"))
-        left = met.join(
-            linked, (F.least("th", "pivot") == F.col("_a")) & (F.greatest("th", "pivot") == F.col("_b")), "left")
-        left = left.where("ok is null").select("th", "n", "degree", "band", "key")
-        if turn:
-            more = left.join(nodes.select("th", "bands"), "th")
-            others = [F.get("bands", F.pmod(F.col("band") + k, F.lit(BANDS))) for k in range(1 << turn - 1, 1 << turn)]
-            left = more.withColumn("key", F.xxhash64("key", *others)).drop("bands")
-        members, turn = left, turn + 1
+        pairs = met.where(near & (F.col("label") != F.col("pl"))).select(
+            F.least("th", "pivot").alias("a"), F.greatest("th", "pivot").alias("b")).distinct()
+        found = found.unionByName(stored(_verified(pairs, sets, similarity), "links"))
+        # the pivot has met all; the others, linked or not, go on while they are in different components
+        labels = components(found)
+        named = _labelled(met.drop("label"), labels, "th", "label")
+        named = _labelled(named.drop("pl"), labels, "pivot", "pl")
+        open_ = named.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        members = stored(named.join(open_, ["band", "key"], "left_semi").select(
+            "th", "n", "degree", "band", "key", "label", (F.col("label") != F.col("pl")).alias("apart")), "left")
+    rest = members.select("th", "label").distinct()
+    return found.unionByName(_rest(rest, sets, found, similarity)).distinct()
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
+    """Rows with the component of a text, which is the text itself if it has no link."""
+    other = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+    return rows.join(other, F.col(node) == F.col("_n"), "left").withColumn(
+        name, F.coalesce("_l", node)).drop("_n", "_l")
+
+
+def _counts(rest: DataFrame) -> np.ndarray:
+    """How often the shingles of a cell (their name modulo ``CELLS``) occur."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                np.add.at(total, np.frombuffer(x, "<u4") % CELLS, 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["cell", "c"])
+
+    got = rest.select("shingles").mapInArrow(count, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros(CELLS, np.int64)
+    out[got.column("cell").to_numpy()] = got.column("c").to_numpy()
+    return out
+
+
+def _rest(rest: DataFrame, sets: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Links between the components of ``rest`` (th, label): an exact join of sets by prefixes.
+
+    Any order of the shingles is right for prefixes; the rarest cells first makes few meet. Two sets of
+    the similarity share a shingle of their prefixes, and the first such leaves enough behind it.
+    """
+    rest = stored(sets.join(rest, "th").select("th", "label", "shingles"), "rest")
+    shared = rest.sparkSession.sparkContext.broadcast(_counts(rest))
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for k, x in enumerate(batch.column(2).to_pylist()):
+                names = np.frombuffer(x, "<u4")
+                n = len(names)
+                size = n - int(np.ceil(similarity * n - 1e-9)) + 1
+                first = names[np.lexsort((names, counts[names % CELLS]))[:size]].astype(np.int64)
+                own = [pa.array([batch.column(c)[k].as_py()] * len(first), pa.string()) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array([n] * len(first), pa.int64()), pa.array(first),
+                     pa.array(np.arange(len(first)), pa.int64())], names=["th", "label", "n", "s", "p"])
+
+    heads = stored(rest.mapInArrow(prefix, "th string, label string, n long, s long, p long"), "prefixes")
+    common = heads.groupBy("s").agg(
+        F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("s", "c")
+    heads = heads.join(common, "s").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    # the holders of a common shingle are dealt into blocks, and each of them meets every block
+    one = heads.select("s", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("th").alias("a"),
+                       F.col("label").alias("la"), F.col("n").alias("na"), F.col("p").alias("pa"))
+    two = heads.select("s", F.pmod(F.xxhash64("th"), F.col("blocks")).cast("int").alias("block"), F.col("th").alias("b"),
+                       F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("p").alias("pb"))
+    one, two = one.alias("one"), two.alias("two")
+    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    meet = ((F.col("one.s") == F.col("two.s")) & (F.col("one.block") == F.col("two.block")) & (F.col("a") < F.col("b"))
+            & (F.col("la") != F.col("lb")) & (F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
+            & (most * (1 + similarity) >= similarity * (F.col("na") + F.col("nb")) - 1e-9))
+    pairs = stored(one.join(two, meet).groupBy("a", "b", "lb").agg(F.count("*").alias("c")), "candidates")
+    # first the best of each text and component, as one link connects them; then what is still apart
+    best = pairs.groupBy("a", "lb").agg(F.max(F.struct("c", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    new = stored(_verified(stored(best, "best"), sets, similarity), "links")
+    labels = components(found.unionByName(new))
+    more = _labelled(_labelled(pairs.select("a", "b"), labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
+    return new.unionByName(stored(_verified(more, sets, similarity), "links"))
 
 
 def components(edges: DataFrame) -> DataFrame:

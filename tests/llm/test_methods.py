@@ -279,6 +279,31 @@ def test_near_duplicates(spark):
     assert kept == set(got.values())
 
 
+def _linked(spark, texts, bands):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [(hashlib.md5(t.encode()).hexdigest(), len(t.split()) - 4, b) for t, b in zip(texts, bands, strict=True)]
+    found = near_duplicates.links(docs, spark.createDataFrame(rows, "th string, n long, bands array<long>"))
+    label = {r.node: r.label for r in near_duplicates.components(found).collect()}
+    return [label.get(r[0]) for r in rows]
+
+
+def test_linked_members_meet_the_rejected(spark):
+    for stem in range(50):  # an end of the chain is the pivot
+        texts = [" ".join(f"{stem}w{i}" for i in range(a, a + 104)) for a in (0, 10, 20)]
+        names = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+        if max(names) == names[0]:
+            break
+    labels = _linked(spark, texts, [list(range(40))] * 3)
+    assert labels[0] is not None and len(set(labels)) == 1
+
+
+def test_no_pair_of_a_bucket_is_lost(spark):
+    texts = [" ".join(f"{k}w{i}" for i in range(a, a + 104)) for k in range(12) for a in (0, 10)]
+    labels = _linked(spark, texts, [[1, *(1000 * k + b for b in range(1, 40))] for k in range(24)])
+    assert None not in labels and len(set(labels)) == 12
+    assert all(labels[2 * k] == labels[2 * k + 1] for k in range(12))
+
+
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame(
         [(1, "a b c d e f", 1), (1, "a b c d e f", 2), (2, "a b c d e f", 3), (None, "a b c d e f", 4), (None, "x", 5), (None, "x", 6),
