@@ -3,8 +3,9 @@
 A page is a stream of tags and text slots. Runs of siblings of one shape fold into a repeated group,
 so that long pages have short skeletons. Spark counts the skeletons of each host; the different ones
 are aligned in rounds, two by two, into a wrapper: what does not match becomes optional, repeated
-parts become groups, texts become slots. A host is divided by a hash of the skeleton while it has
-many, so that no task holds more than a few.
+parts become groups, texts become slots. Pages of a host whose texts stand in article or main elements,
+those that only name such a part, and those with neither are templates of their own, each with its
+wrapper. One is divided by a hash of the skeleton while it has many, so that no task holds more than a few.
 
 A wrapper's slot is a place: the chain of tags and classes above the text. Places under menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments are furniture,
@@ -209,6 +210,14 @@ def _merge(items: list[str]) -> list[str]:
     return out
 
 
+def template(places: list[str]) -> str:
+    """What marks the main part of a page with these places: tagged elements, named blocks, or nothing."""
+    chains = [c for c in (p.split(">") if p else [] for p in places) if not any(furniture(x) for x in c)]
+    if any(x.split(" ", 1)[0] in MAIN_TAGS for c in chains for x in c):
+        return "tagged"
+    return "named" if any(main_part(x) for c in chains for x in c) else "clear"
+
+
 def article_places(wrapper: list[str]) -> list[str]:
     """Slots of a wrapper that hold the article.
 
@@ -232,9 +241,9 @@ ALIGN_AT_ONCE = 64
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper): one wrapper a host over all its skeletons.
+    """(host, template, wrapper): one wrapper for each template of a host over all its skeletons.
 
-    Skeletons are counted by Spark first. While a host has more than ``ALIGN_AT_ONCE``, hash parts of
+    Skeletons are counted by Spark first. While a template has more than ``ALIGN_AT_ONCE``, hash parts of
     them are aligned apart, and the parts' wrappers go on.
     """
 
@@ -245,17 +254,17 @@ def wrappers(pages: DataFrame) -> DataFrame:
             items = text.split("\n") if text else []
             wrapper = items if wrapper is None else align(wrapper, items)
         return pd.DataFrame({
-            "host": [pdf["host"].iloc[0]], "skeleton": ["\n".join(wrapper or [])], "n": [int(pdf["n"].sum())]})
+            "host": [pdf["host"].iloc[0]], "template": [pdf["template"].iloc[0]], "skeleton": ["\n".join(wrapper or [])], "n": [int(pdf["n"].sum())]})
 
-    rows = stored(pages.groupBy("host", "skeleton").agg(F.count("*").alias("n")), "skeletons")
+    rows = stored(pages.groupBy("host", "template", "skeleton").agg(F.count("*").alias("n")), "skeletons")
     while True:
-        most = rows.groupBy("host").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+        most = rows.groupBy("host", "template").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
         parts = -(-most // ALIGN_AT_ONCE)
         part = F.pmod(F.xxhash64("skeleton"), F.lit(max(parts, 1)))
-        cut = rows.withColumn("part", part).groupBy("host", "part")
-        rows = stored(cut.applyInPandas(join, "host string, skeleton string, n long"), "wrappers")
+        cut = rows.withColumn("part", part).groupBy("host", "template", "part")
+        rows = stored(cut.applyInPandas(join, "host string, template string, skeleton string, n long"), "wrappers")
         if parts <= 1:
-            return rows.select("host", F.col("skeleton").alias("wrapper"))
+            return rows.select("host", "template", F.col("skeleton").alias("wrapper"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -269,22 +278,32 @@ def main_text(pages: DataFrame) -> DataFrame:
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shapes = [skeleton(x or "") for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shapes, pa.string())], names=["host", "skeleton"])
+            kind_of = {s: template([x.rstrip("+") for x in s.split("\n")]) for s in set(shapes)}
+            kinds = [kind_of[s] for s in shapes]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(kinds, pa.string()), pa.array(shapes, pa.string())],
+                names=["host", "template", "skeleton"])
 
     outlines = pages.select(host, F.col("html").cast("string").alias("html")).mapInArrow(
-        outline, "host string, skeleton string")
-    found = wrappers(outlines)
+        outline, "host string, template string, skeleton string")
+    found = wrappers(outlines).groupBy("host").agg(
+        F.map_from_entries(F.collect_list(F.struct("template", "wrapper"))).alias("wrapper"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, set[str]] = {}
         for batch in batches:
-            texts = []
-            for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            texts, kind_of = [], {}
+            for page, of_host in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                parts = [(">".join(place), text) for place, text in blocks(page or "")]
+                places = tuple(dict.fromkeys(p for p, _ in parts))
+                if places not in kind_of:
+                    kind_of[places] = template(list(places))
+                wrapper = dict(of_host or []).get(kind_of[places])
                 if wrapper not in held:
                     if len(held) > 10_000:
                         held.clear()
                     held[wrapper] = set(article_places((wrapper or "").split("\n")))
-                texts.append(extract(page or "", held[wrapper]))
+                texts.append("\n".join(text for place, text in parts if place in held[wrapper]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

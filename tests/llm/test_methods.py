@@ -339,6 +339,13 @@ def test_main_text():
     assert wrappers.extract(page, places) == "Tést\nOne two three\nFour & five\na\nb"
 
 
+def test_templates_of_one_host(spark):
+    pages = ["<article><p>one</p></article>", "<div class=post><p>two</p></div>", "<div id=text><p>three</p></div>"]
+    rows = [(k, url, p) for url in ("http://h/x", None) for k, p in enumerate(pages)]
+    got = wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r.text for r in got) == ["one", "one", "three", "three", "two", "two"]
+
+
 def test_alignment_is_union_free():
     one, two = ["a", "b+", "c"], ["a", "b", "d", "c", "c"]
     assert wrappers.align(one, two) == ["a", "b+", "d?", "c+"]
