@@ -1,5 +1,6 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
+A run of letters longer than 64 characters enters as overlapping pieces, each a word of its own.
 A word enters with a hashed word vector and the mean of its hashed character groups (3 to 5, word ends marked). The network
 reads windows of ``WINDOW`` words that overlap by half and cover the whole text; a text scores as its
 highest window. Labels are per text, so training learns from the window of each text that scores
@@ -29,11 +30,19 @@ SAMPLE_WINDOWS = 64
 THRESHOLD = 0.7
 EPOCHS = 6
 KEPT_WORDS = 300_000
+PIECE, LAP = 64, 16  # characters of a piece of a long run, and those that it shares with the next
 _WORD = re.compile(r"[^\W_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters and digits; of a run longer than ``PIECE``, overlapping pieces that cover it."""
+    out = []
+    for w in _WORD.findall(text.lower()):
+        if len(w) <= PIECE:
+            out.append(w)
+        else:
+            out += [w[a:a + PIECE] for a in range(0, len(w) - LAP, PIECE - LAP)]
+    return out
 
 
 def window_starts(n: int) -> range:
@@ -47,7 +56,7 @@ def word_row(word: str) -> int:
 
 def char_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the hashed groups of 3 to 5 bytes of every word, ends marked, and where each word's begin."""
-    data = [f"^{w[:64]}$".encode() for w in words]
+    data = [f"^{w}$".encode() for w in words]
     raw = np.frombuffer(b"".join(data) + b"\0" * 8, np.uint8).astype(np.uint64)
     sizes = np.fromiter(map(len, data), np.int64, len(data))
     owner, length = np.repeat(np.arange(len(data)), sizes), int(sizes.sum())
@@ -156,14 +165,16 @@ class Words:
         if new:
             start = len(self.numbers)
             self.numbers.update(zip(new, range(start, start + len(new)), strict=True))
-            own = np.fromiter(map(word_row, new), np.int64, len(new))
-            flat, begins = char_rows(new)
-            if self.p is None:
-                self.rows += list(zip(own.tolist(), np.split(flat, begins[1:]), strict=True))
-            else:
-                while len(self.table) < len(self.numbers):
-                    self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-                self.table[start:len(self.numbers)] = projections(_features(own, flat, begins, self.p), self.p)
+            while self.p is not None and len(self.table) < len(self.numbers):
+                self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+            for a in range(0, len(new), 8192):  # pieces are long: their groups are made for so many at a time
+                part = new[a:a + 8192]
+                own = np.fromiter(map(word_row, part), np.int64, len(part))
+                flat, begins = char_rows(part)
+                if self.p is None:
+                    self.rows += list(zip(own.tolist(), np.split(flat, begins[1:]), strict=True))
+                else:
+                    self.table[start + a:start + a + len(part)] = projections(_features(own, flat, begins, self.p), self.p)
         at = self.numbers.__getitem__
         return [np.fromiter(map(at, t), np.int64, len(t)) for t in texts]
 

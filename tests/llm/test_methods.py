@@ -222,6 +222,15 @@ def test_toxicity_gradients():
         assert abs((sides[0] - sides[1]) / 2e-2 - x[at]) < 1e-3 * max(1, abs(x[at]))
 
 
+@pytest.mark.parametrize("n", [64, 65, 112, 113, 1000])
+def test_toxicity_reads_whole_runs(n):
+    run = "".join(random.Random(n).choice("abcdefgh字") for _ in range(n))
+    pieces = toxicity.words_of(run)
+    assert max(map(len, pieces)) <= 64 and pieces[0] + "".join(x[16:] for x in pieces[1:]) == run
+    flat, other = (set(toxicity.char_rows(toxicity.words_of(x))[0].tolist()) for x in (run, run[:-8] + "x" * 8))
+    assert flat != other
+
+
 def test_toxicity_finds_words_anywhere(spark):
     rng = random.Random(5)
     rows, labels = [], []
