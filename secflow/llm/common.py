@@ -64,3 +64,15 @@ def per_process(key: Any, make: Callable[[], Any]) -> Any:
     if key not in held:
         held[key] = make()
     return held[key]
+
+
+#: SQL of a one-row table of crc32's 256 steps, and of the crc32 of a list of bytes by that table.
+CRC_STEPS_SQL = """
+  SELECT list_transform(range(256), lambda b: list_reduce(
+    list_prepend(b::BIGINT, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS steps"""
+
+
+def crc32_sql(byte_list: str) -> str:
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {byte_list}), "
+        "lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295)")

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from secflow.llm import (
-    decontamination, language, mixing, near_duplicates, personal, rules, token_files, tokens, toxicity,
-    wrappers)
+    decontamination, language, manifest, mixing, near_duplicates, packing, personal, rules, spelling, token_files, tokens,
+    toxicity, wrappers)
 from secflow.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +61,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling(table(spark, sf_dir, "documents"))
+
+
+def op12_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: list[Query] = [
     op1_personal_data, op2_token_files, op3_mixture_weights, op4_token_counts, op5_language, op6_toxicity,
-    op7_near_duplicates, op8_main_text, op9_quality_rules, op10_decontamination]
+    op7_near_duplicates, op8_main_text, op9_quality_rules, op10_decontamination, op11_spelling_variants,
+    op12_packed_sequences, op13_merkle_manifest]
 
 
 def registry() -> dict[str, Query]:
@@ -70,4 +84,6 @@ def registry() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality_rules": rules.SQL, "op10_decontamination": decontamination.SQL}
+    return {
+        "op9_quality_rules": rules.SQL, "op10_decontamination": decontamination.SQL,
+        "op11_spelling_variants": spelling.SQL, "op13_merkle_manifest": manifest.SQL}
