@@ -39,12 +39,13 @@ BATCH_CHARS = 4_000_000
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = f"{_PIECE}, bin long, offset long, filled long"
 
-# The pre-tokenizer's pattern for texts of ASCII and Latin-1 letters, which fall into its letter class.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
-_PLAIN = re.compile(rf"[\x21-\x7E{_LETTERS}]+")
+# The pre-tokenizer's pattern for lower-case text of ASCII and Latin-1 letters, which fall into its letter class; line
+# breaks, which no unit holds, stand apart.
+_PARTS = re.compile(r"\n|'(?:[stmd]|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]+")
 # Fixed value: the pattern of a vocabulary file whose words may be encoded one by one.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BREAK = b"\xff\xff\xff\xff"  # no id of a vocabulary
 
 
 def _by_words(parts: dict) -> bool:
@@ -60,16 +61,26 @@ def _by_words(parts: dict) -> bool:
                     for t in parts["added_tokens"]))
 
 
+def _byte_letters() -> dict[int, str]:
+    """Latin-1 letters as a byte-level vocabulary spells their UTF-8 bytes: printable bytes stand for themselves,
+    the others for the characters from U+0100 on."""
+    shown = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174}
+    hidden = [b for b in range(256) if b not in shown]
+    spelt = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return {c: "".join(spelt[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    Words repeat, so the ids of short ones are kept, up to a bound, and the library sees only new
-    parts of words: letters, a digit or marks.
+    Words repeat, so the ids of units (runs without white space) are kept, up to a bound. New units are
+    divided into parts (letters, a digit or marks), and the library's model sees new parts only, all of a
+    batch in one call. Units with other letters than Latin-1's go to the whole library.
     """
 
     def __init__(self, path: str, kept: int = KEPT_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -77,47 +88,67 @@ class WordIds:
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         self.words = _by_words(parts)
+        if not self.words:
+            return
         self.special = [t["content"] for t in parts["added_tokens"]]
+        self.model = Tokenizer(self.library.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = _byte_letters()
+        suffix = parts["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(max(self.library.get_vocab().values()) + 1, bool)
+        self.ends[[k for word, k in parts["model"]["vocab"].items() if word.endswith(suffix)]] = True
         self.kept = kept
         self.units: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"\n": _BREAK}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, units: set[str]) -> dict[str, bytes]:
-        """Ids of all ``units``: those kept, and the new ones from their parts."""
-        new = [u for u in units if u not in self.units]
-        divided = {u: _PARTS.findall(u.lower()) if _PLAIN.fullmatch(u) and not any(s in u for s in self.special) else [u]
-                   for u in new}
-        ask = list({p for parts in divided.values() for p in parts}.difference(self.parts))
+    def _part_ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part, from one call of the model: a part's last token ends a word."""
+        text = " ".join(parts)
+        spelt = text if text.isascii() else text.translate(self.letters)
+        ids = np.array(self.model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+        stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(stops) != len(parts) or not text.isprintable():
+            return self._raw(parts)
+        whole = ids.tobytes()
+        return [whole[a:b] for a, b in zip([0, *stops.tolist()], stops.tolist(), strict=False)]
+
+    def _learn(self, units: set[str]) -> None:
+        new = units.difference(self.units)
+        odd = {u for u in new if not u.isascii() and not _PLAIN.fullmatch(u) or "<|" in u and any(s in u for s in self.special)}
+        plain = list(new - odd)
+        divided = _PARTS.findall("\n".join(plain).lower())
+        ask = list(set(divided).difference(self.parts))
         if len(self.parts) + len(ask) > self.kept:
-            self.parts = {}
-            ask = list({p for parts in divided.values() for p in parts})
-        self.parts.update(zip(ask, self._raw(ask), strict=True))
-        found = {u: b"".join([self.parts[p] for p in parts]) for u, parts in divided.items()}
-        if len(self.units) + len(new) > self.kept:
-            self.units = {}
-        known = self.units | found
-        self.units.update((u, x) for u, x in found.items() if len(u) <= KEPT_LENGTH)
-        if len(self.parts) > self.kept:
-            self.parts = {}
-        return known
+            self.parts = {"\n": _BREAK}
+            ask = list(set(divided).difference(self.parts))
+        if ask:
+            self.parts.update(zip(ask, self._part_ids(ask), strict=True))
+        joined = b"".join(map(self.parts.__getitem__, divided))
+        stops = [*(4 * np.flatnonzero(np.frombuffer(joined, "<u4") == 0xFFFFFFFF)).tolist(), len(joined)]
+        self.units.update(zip(
+            plain, [joined[a:b] for a, b in zip([0, *[k + 4 for k in stops]], stops, strict=False)], strict=True)
+            if plain else ())
+        self.units.update(zip(odd, self._raw(list(odd)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.words:
             return self._raw(texts)
         # str.split() also divides at four separators that are not white space for the library
-        whole = {k for k, t in enumerate(texts) if any(c in t for c in "\x1c\x1d\x1e\x1f")}
-        divided = [[] if k in whole else t.split() for k, t in enumerate(texts)]
-        new: set[str] = set()
-        for units in divided:
-            new.update(units)
-        get = self._learn(new).__getitem__
-        out = [b"".join(map(get, units)) for units in divided]
+        whole = [k for k, t in enumerate(texts) if any(c in t for c in "\x1c\x1d\x1e\x1f")]
+        divided = [t.split() for t in texts]
+        for k in whole:
+            divided[k] = []
+        units: set[str] = set().union(*divided)
+        self._learn(units)
+        out = [b"".join(map(self.units.__getitem__, x)) for x in divided]
         for k, ids in zip(whole, self._raw([texts[k] for k in whole]), strict=True):
             out[k] = ids
+        if len(self.units) > self.kept:  # words that are met often are in this batch too
+            self.units = {u: self.units[u] for u in units if len(u) <= KEPT_LENGTH}
         return out
 
 
