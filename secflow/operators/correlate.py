@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow.functions.predicates import (
@@ -21,7 +21,7 @@ from secflow.functions.text import stable_id
 from secflow.operators.events import FLOW_APP, literal_condition
 from secflow.operators.parse import condition_atoms
 from secflow.operators.threshold import fire_chain, running, threshold_fire, threshold_members
-from secflow.plans.physical import broadcast_if_bounded, collect_to_compile, evaluated_once
+from secflow.plans.physical import broadcast_if_bounded, checkpointed, collect_to_compile, evaluated_once
 
 # Sub-rule kinds.
 DETAIL = "T_SIEM_MEDETAIL"
@@ -254,23 +254,60 @@ def _flow_rules(flows: DataFrame) -> DataFrame:
         "med_id", "rule_id", seconds.alias("seconds"), "flow_limit", F.coalesce("atoms", none).alias("atoms"))
 
 
-def flow_asof(events: DataFrame, stats: DataFrame, ts: str = "open_time") -> DataFrame:
+def _bucket(time: Column, seconds: int) -> Column:
+    micros, width = F.unix_micros(time), F.lit(seconds * 1_000_000)
+    return ((micros - F.pmod(micros, width)) / width).cast("long")
+
+
+def asof_buckets(stats: DataFrame, seconds: int) -> DataFrame:
+    """One row per bucket from the first statistic to the last: its statistics in order, and the one before it.
+
+    Buckets without statistics have an empty array, so an equi-join finds the latest one of any age.
+    """
+    value = F.struct(F.col("stat_time").alias("t"), F.col("bytes").cast("long").alias("b"))
+    reduced = stats.where("stat_time IS NOT NULL").groupBy("stat_time").agg(F.max("bytes").alias("bytes"))
+    held = reduced.groupBy(_bucket(F.col("stat_time"), seconds).alias("at")).agg(
+        F.sort_array(F.collect_list(value)).alias("seen"))  # distinct times of one bucket
+    # over buckets, not statistics: one row per bucket of time
+    in_order = Window.orderBy("at")
+    linked = held.select(
+        "at", "seen", F.element_at("seen", -1).alias("last"), F.lag(F.element_at("seen", -1)).over(in_order).alias("earlier"),
+        F.lead("at").over(in_order).alias("next"))
+    filled = linked.withColumn("bucket", F.explode(F.sequence("at", F.coalesce(F.col("next") - 1, F.col("at")))))
+    own = F.col("bucket") == F.col("at")
+    return filled.select(
+        "bucket", F.when(own, F.col("seen")).otherwise(F.slice("seen", 1, 0)).alias("seen"),
+        F.when(own, F.col("earlier")).otherwise(F.col("last")).alias("earlier"))
+
+
+def _at_or_before(seen: str, ts: str) -> Column:
+    """How many elements of a sorted array lie at or before a time, by halving."""
+    return F.expr(
+        f"aggregate(sequence(1, cast(ceil(log2(size({seen}) + 1)) as int) + 1), "
+        f"named_struct('lo', 0, 'hi', size({seen})), (s, k) -> CASE WHEN s.lo >= s.hi THEN s "
+        f"WHEN {seen}[(s.lo + s.hi) div 2].t <= {ts} THEN named_struct('lo', cast((s.lo + s.hi) div 2 + 1 as int), 'hi', s.hi) "
+        f"ELSE named_struct('lo', s.lo, 'hi', cast((s.lo + s.hi) div 2 as int)) END, s -> s.lo)")
+
+
+def flow_asof(events: DataFrame, stats: DataFrame, ts: str = "open_time", seconds: int = 3600) -> DataFrame:
     """Add the latest traffic statistic at or before each event: stat_time and stat_bytes.
 
-    The lookup has no key but time, so events and statistics are merged into one time order and the
-    latest statistic is carried along partition by partition.
+    Statistics are put into buckets of time, which events join on their own bucket; the latest one is
+    then found inside the row. Events stay where they are while the buckets are small enough to be
+    broadcast. Events after the last bucket take the last statistic.
     """
-    when = F.struct(F.col("stat_time").alias("t"), F.col("bytes").cast("long").alias("b"))
-    left = events.select(
-        F.struct(*events.columns).alias("row"), F.col(ts).alias("at"), F.lit(1).alias("kind"),
-        F.lit(None).cast("struct<t:timestamp,b:bigint>").alias("stat"), F.col("event_result_id").alias("tie"))
-    none = F.lit(None).cast(left.schema["row"].dataType)
-    right = stats.groupBy("stat_time").agg(F.max("bytes").alias("bytes")).select(
-        none.alias("row"), F.col("stat_time").alias("at"), F.lit(0).alias("kind"), when.alias("stat"),
-        F.lit("").alias("tie"))
-    carried = running(left.unionByName(right), [], ["at", "kind", "tie"], "n", maxima={"latest": "stat"})
-    return carried.where("kind = 1").select(
-        "row.*", F.col("latest.t").alias("stat_time"), F.col("latest.b").alias("stat_bytes"))
+    buckets = checkpointed(asof_buckets(stats, seconds))  # read twice
+    last = buckets.agg(F.max_by(
+        F.struct("bucket", F.coalesce(F.try_element_at("seen", F.lit(-1)), F.col("earlier")).alias("stat")), "bucket").alias("last"))
+    joined = events.withColumn("_last", last.scalar()).join(
+        broadcast_if_bounded(buckets), _bucket(F.col(ts), seconds) == F.col("bucket"), "left")
+    passed = _at_or_before("seen", f"`{ts}`")
+    found = (
+        F.when(_bucket(F.col(ts), seconds) > F.col("_last.bucket"), F.col("_last.stat"))
+        .when(passed > 0, F.get("seen", passed - 1)).otherwise(F.col("earlier")))
+    looked_up = evaluated_once(joined, "_stat", found)
+    return looked_up.select(
+        *events.columns, F.col("_stat.t").alias("stat_time"), F.col("_stat.b").alias("stat_bytes"))
 
 
 def flow_holds(rule, values: Column, ts: str = "open_time") -> Column:
@@ -361,13 +398,24 @@ def _flow_detail() -> Column:
         *_ADDRESS, *[F.col(f"log.{c}").alias(c) for c in _LOGGED]))
 
 
-def definition_floors(
-    events: DataFrame, rules: CompositeRules, context: Context, strict: bool = True, cve: str = "cve"
-) -> DataFrame:
-    """One row per (definition, event hitting it): its number ``pos`` and the definition's ``floor``.
+@dataclass
+class Carried:
+    """What earlier events left: a row per definition (numbers count its hits from 1) and its counters' open hits."""
 
-    The floor is NULL where no counter is reached, since a composite needs events behind it.
-    """
+    defs: DataFrame
+    open_hits: DataFrame
+
+
+CARRIED_DEFS = "def_id string, hits long, last_fire long, fires long, last_cve long, last_leak long, last_port long"
+OPEN_HITS = "def_id string, sub_id string, detail_id string, times long, pos long"
+_LATEST = {"last_cve": "has_cve", "last_leak": "has_leak", "last_port": "has_port"}
+
+
+def definition_hits(
+    events: DataFrame, rules: CompositeRules, context: Context, strict: bool = True, cve: str = "cve",
+    carried: Carried | None = None,
+) -> DataFrame:
+    """One row per (definition, event hitting it) with its number ``pos`` and the latest vulnerability hits so far."""
     # only what later steps read is carried through the sorts
     hit = event_hits(events, rules, strict).select(
         "event_result_id", *_ADDRESS, "open_time", "hits", F.col(cve).alias("cve"),
@@ -377,21 +425,38 @@ def definition_floors(
         "event_result_id", *_ADDRESS, F.col("open_time").alias("ts"), "hits", "flow_detail",
         "has_leak", "has_cve", "has_port", "in_intel", "stat_time", "stat_bytes",
         F.explode(F.array_distinct(F.transform("hits", lambda h: h["def_id"]))).alias("def_id"))
-    numbered = running(
-        by_def, ["def_id"], ["ts", "event_result_id"], "pos",
-        last_where={"last_cve": "has_cve", "last_leak": "has_leak", "last_port": "has_port"})
-
+    numbered = running(by_def, ["def_id"], ["ts", "event_result_id"], "pos", last_where=_LATEST)
+    if carried is None:
+        return numbered
+    before = carried.defs.select(
+        F.col("def_id").alias("_bdef"), F.col("hits").alias("_hits"), *[F.col(c).alias(f"_{c}") for c in _LATEST])
+    joined = numbered.join(broadcast_if_bounded(before), F.col("def_id") == F.col("_bdef"), "left")
+    base = F.coalesce("_hits", F.lit(0))
+    latest = {c: F.when(F.col(c) > 0, F.col(c) + base).otherwise(F.coalesce(f"_{c}", F.lit(0))) for c in _LATEST}
+    return joined.withColumns({"pos": F.col("pos") + base, **latest}).select(*numbered.columns)
+
+
+def definition_counts(hits: DataFrame, carried: Carried | None = None) -> DataFrame:
+    """One row per (counted detail, hit), numbered by ``rn``; open hits of earlier events come first and have no event."""
     own = F.filter("hits", lambda h: h["def_id"] == F.col("def_id"))
-    details = numbered.select("def_id", "event_result_id", "ts", "pos", F.explode(own).alias("h")).select(
-        "def_id", "event_result_id", "ts", "pos", "h.sub_id", "h.detail_id", "h.times")
-    counted = running(details, ["detail_id"], ["ts", "event_result_id"])
+    details = hits.select("def_id", "event_result_id", "pos", F.explode(own).alias("h")).select(
+        "def_id", "event_result_id", "pos", "h.sub_id", "h.detail_id", "h.times")
+    if carried is not None:
+        details = details.unionByName(carried.open_hits.withColumn("event_result_id", F.lit(None).cast("string")))
+    return running(details, ["detail_id"], ["pos"])
+
+
+def counted_floors(
+    hits: DataFrame, counted: DataFrame, rules: CompositeRules, context: Context
+) -> DataFrame:
+    """Definition hits with the definition's ``floor``, NULL where no counter is reached."""
     first = counted.select(F.col("detail_id").alias("_d"), F.col("rn").alias("_rn"), F.col("pos").alias("floor"))
-    reached = counted.join(
+    reached = counted.where("event_result_id IS NOT NULL").join(
         first, (F.col("detail_id") == F.col("_d")) & (F.col("rn") - F.col("times") + 1 == F.col("_rn")))
     floors = reached.groupBy(F.col("def_id").alias("_fdef"), F.col("event_result_id").alias("_fevent")).agg(
         F.collect_list(F.struct("sub_id", "floor")).alias("floors"), F.max("floor").alias("reached"))
 
-    joined = numbered.drop("hits").join(
+    joined = hits.drop("hits").join(
         floors, (F.col("def_id") == F.col("_fdef")) & (F.col("event_result_id") == F.col("_fevent")), "left"
     ).drop("_fdef", "_fevent")
     ruled = joined.join(
@@ -404,16 +469,65 @@ def definition_floors(
         F.when(floor > NEVER, floor).alias("floor"))
 
 
-def composite_events(floors: DataFrame) -> DataFrame:
-    """Every hit of a definition with ``fired`` and the number of the composite it belongs to."""
-    chained = fire_chain(
-        floors.select("def_id", "event_result_id", "pos", "floor"), "def_id", "pos", "floor")
+def definition_floors(
+    events: DataFrame, rules: CompositeRules, context: Context, strict: bool = True, cve: str = "cve"
+) -> DataFrame:
+    """One row per (definition, event hitting it): its number ``pos`` and the definition's ``floor``.
+
+    The floor is NULL where no counter is reached, since a composite needs events behind it.
+    """
+    hits = definition_hits(events, rules, context, strict, cve)
+    return counted_floors(hits, definition_counts(hits), rules, context)
+
+
+def composite_events(floors: DataFrame, carried: Carried | None = None) -> DataFrame:
+    """Every hit of a definition with ``fired`` and the number of the composite it belongs to.
+
+    With earlier events the chain starts at each definition's last fire: what lies at or before it can
+    neither be counted nor fire.
+    """
+    narrow = floors.select("def_id", "event_result_id", "pos", "floor")
+    if carried is None:
+        chained = fire_chain(narrow, "def_id", "pos", "floor")
+    else:
+        before = carried.defs.select(F.col("def_id").alias("_bdef"), "last_fire", "fires")
+        joined = narrow.join(broadcast_if_bounded(before), F.col("def_id") == F.col("_bdef"), "left")
+        last, fires = F.coalesce("last_fire", F.lit(0)), F.coalesce("fires", F.lit(0))
+        shifted = joined.select(
+            "def_id", "event_result_id", (F.col("pos") - last).alias("_since"), last.alias("_from"), fires.alias("_earlier"),
+            F.when(F.col("floor") > last, F.col("floor") - last).alias("_floor"))
+        chained = fire_chain(shifted, "def_id", "_since", "_floor").select(
+            "def_id", (F.col("_since") + F.col("_from")).alias("pos"), "fired",
+            (F.col("fire_seq") + F.col("_earlier")).alias("fire_seq"))
     marks = chained.select(
         F.col("def_id").alias("_cdef"), F.col("pos").alias("_cpos"), "fired", "fire_seq")
     return floors.join(marks, (F.col("def_id") == F.col("_cdef")) & (F.col("pos") == F.col("_cpos"))).drop(
         "_cdef", "_cpos")
 
 
+def carry_on(carried: Carried, hits: DataFrame, counted: DataFrame, chained: DataFrame) -> Carried:
+    """What is left for later events: last fires, and of each counter the hits after it that can still count."""
+    now = chained.groupBy(F.col("def_id").alias("_d")).agg(
+        F.max("pos").alias("_hits"), F.max(F.when(F.col("fired"), F.col("pos"))).alias("_last"),
+        F.sum(F.col("fired").cast("long")).alias("_fired"))
+    latest = hits.groupBy(F.col("def_id").alias("_l")).agg(*[F.max(c).alias(f"_{c}") for c in _LATEST])
+    seen = now.join(latest, F.col("_d") == F.col("_l")).drop("_l")
+    merged = carried.defs.join(seen, F.col("def_id") == F.col("_d"), "full")
+    either = lambda new, old: F.coalesce(F.col(new), F.col(old), F.lit(0))
+    defs = merged.select(
+        F.coalesce("def_id", "_d").alias("def_id"), either("_hits", "hits").alias("hits"),
+        either("_last", "last_fire").alias("last_fire"),
+        (F.coalesce("fires", F.lit(0)) + F.coalesce("_fired", F.lit(0))).alias("fires"),
+        *[either(f"_{c}", c).alias(c) for c in _LATEST])
+    totals = counted.groupBy(F.col("detail_id").alias("_t")).agg(F.max("rn").alias("_total"))
+    fires = defs.select(F.col("def_id").alias("_f"), F.col("last_fire").alias("_from"))
+    still = counted.join(broadcast_if_bounded(totals), F.col("detail_id") == F.col("_t")).join(
+        broadcast_if_bounded(fires), F.col("def_id") == F.col("_f"))
+    open_hits = still.where("pos > _from AND rn > _total - times + 1").select(
+        "def_id", "sub_id", "detail_id", "times", "pos")
+    return Carried(defs, open_hits)
+
+
 def composite_rows(chained: DataFrame) -> DataFrame:
     """Composite records; flow-derived ones also carry columns of the event and its log."""
     return chained.where("fired").select(

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from secflow.operators.threshold import running
+
 
 @dataclass(frozen=True)
 class RuleSet:
@@ -116,6 +118,85 @@ def builtin_event_rules(defs: DataFrame, fields: DataFrame) -> DataFrame:
     return joined.where("is_inner = 1 and is_use = 1").drop("field_rule_id", "is_inner", "is_use")
 
 
+# Store tables behind the joined rule sets.
+STORE_TABLES = {
+    "regex": "t_siem_log_regex", "lib": "t_siem_log_regex_lib", "asset": "t_siem_moni_ne", "asset_ip": "t_moni_device_ip",
+    "event_def": "t_siem_event_rule_def", "event_field": "t_siem_event_rule_field"}
+
+#: Names under which operators and stages ask for rule sets; the two joined sets have loaders of their own.
+OPERATOR_TABLES = {
+    "policy_whole": "policy_whole", "policy_event": "policy_event", "policy_composite": "policy_relation",
+    "leak_scan": "leak_scan", "user_event_def": "event_def_user", "user_event_field": "event_field",
+    "user_log_rule": "log_regex_user", "me_define": "composite_def", "me_sub": "composite_sub", "me_detail": "detail",
+    "me_leak": "detail_leak", "me_flow": "detail_flow", "me_asset": "detail_asset", "me_intel": "detail_intel",
+    "monitored_ip": "asset_ip"}
+
+# Columns whose order decides between rules that would all match; a store has no order of its own.
+_ORDERED = {
+    "log_rule": ["device_ip", "log_rule_id", "log_rule_lib_id", "log_regex"],
+    "event_def": ["event_rule_id", "begin_value"], "user_event_def": ["event_rule_id"],
+    "user_log_rule": ["log_rule_id", "log_rule_lib_id", "log_regex"]}
+
+# Columns that operators compute with; snapshots hold text, and what is no number becomes NULL.
+_NUMBERS = {
+    "int": ["status", "op", "flag", "cve_match", "leak_match", "port_match", "ip_match", "ip_type", "os", "statis_period"],
+    "bigint": ["rule_ord", "count", "control_time", "times", "time_limit", "flow_limit"]}
+
+
+def ordered_rules(rules: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``rule_ord``, the place of a rule by ``columns`` (text, nulls first), from a range sort."""
+    keys = {f"_by_{k}": F.col(c).cast("string") for k, c in enumerate(columns)}
+    return running(rules.withColumns(keys), [], list(keys), "rule_ord").drop(*keys)
+
+
+def load_store_table(spark: SparkSession, name: str, jdbc: dict | None = None, folder: str | None = None) -> DataFrame:
+    """A whole table of the rule store, with column names in lower case."""
+    if jdbc is not None:
+        rows = spark.read.format("jdbc").options(dbtable=name, **jdbc).load()
+    else:
+        rows = spark.read.parquet(f"{folder}/{name}")
+    return rows.toDF(*[c.lower() for c in rows.columns])
+
+
+def load_log_regex(spark: SparkSession, jdbc: dict | None = None, folder: str | None = None) -> DataFrame:
+    """Regex rules of each device address from their four tables, under operators' names."""
+    names = {"htypeid": "htype_id", "hteyid": "htype_id", "htyeid": "htype_id", "vendorid": "vendor_id"}
+    part = lambda n: load_store_table(spark, STORE_TABLES[n], jdbc, folder)
+    renamed = lambda t: t.withColumnsRenamed({k: v for k, v in names.items() if k in t.columns})
+    return operator_columns(
+        log_regex_by_device(part("regex"), renamed(part("lib")), renamed(part("asset")), part("asset_ip")))
+
+
+def load_builtin_events(spark: SparkSession, jdbc: dict | None = None, folder: str | None = None) -> DataFrame:
+    """Built-in event definitions in use with their fields, under operators' names."""
+    part = lambda n: load_store_table(spark, STORE_TABLES[n], jdbc, folder)
+    return builtin_event_rules(part("event_def"), operator_columns(part("event_field")))
+
+
+def load_operator_tables(spark: SparkSession, jdbc: dict | None = None, folder: str | None = None) -> dict[str, DataFrame]:
+    """All seventeen rule sets of a store in the form operators read, with ``rule_ord`` where the first rule wins."""
+    tables = {
+        name: operator_columns(load_rules(spark, rule_set, jdbc, folder)) for name, rule_set in OPERATOR_TABLES.items()}
+    tables["log_rule"] = load_log_regex(spark, jdbc, folder)
+    tables["event_def"] = load_builtin_events(spark, jdbc, folder)
+    for name, columns in _ORDERED.items():
+        tables[name] = ordered_rules(tables[name], columns)
+    return tables
+
+
+def sync_rules(spark: SparkSession, snapshots: str, version: int, jdbc: dict | None = None, store: str | None = None) -> None:
+    """Copy a rule store into the next snapshot, from which stages read."""
+    write_snapshot(load_operator_tables(spark, jdbc, store), snapshots, version)
+
+
+def operator_types(rules: DataFrame) -> DataFrame:
+    """Text of a snapshot as the types operators compute with."""
+    casts = {
+        c: F.col(c).try_cast(kind) for kind, names in _NUMBERS.items() for c in names
+        if c in rules.columns and dict(rules.dtypes)[c] == "string"}
+    return rules.withColumns(casts) if casts else rules
+
+
 def snapshot_docs(rules: DataFrame, name: str) -> DataFrame:
     """Each rule as a JSON object of strings; NULL becomes the empty string."""
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c.lower()) for c in rules.columns]

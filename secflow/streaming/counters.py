@@ -9,6 +9,7 @@ Across micro-batches hits count in order of arrival, within one in order of time
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,12 @@ class BatchCounter:
     def _version(self, batch_id: int) -> str:
         return f"{self.state_path}/version={batch_id}"
 
-    def fires(self, hits: DataFrame, batch_id: int) -> DataFrame:
+    def fires(self, hits: DataFrame, batch_id: int, watermark: datetime | None = None) -> DataFrame:
+        """Hits that fire in this batch.
+
+        ``watermark`` promises that no later hit lies at or before it; open hits of modes with a time
+        limit that no later hit can reach are then dropped, so that idle keys leave the state.
+        """
         spark = hits.sparkSession
         rows = hits.withColumn("_carried", F.lit(False))
         if batch_id > 0:
@@ -48,6 +54,9 @@ class BatchCounter:
         open_from = F.lit(0) if self.mode == "windowed" else F.col("_last")
         still = marked.join(broadcast_if_bounded(last), F.col(self.key) == F.col("_k")).where(
             (F.col("rn") > open_from) & (F.col("rn") > F.col("_total") - F.col(self.n) + 1))
+        if watermark is not None and self.mode != "cumulative":
+            reach = F.unix_micros(F.col(self.ts)) + F.col(self.seconds).cast("long") * 1_000_000
+            still = still.where(reach > F.unix_micros(F.lit(watermark)))
         still.select(*hits.columns).write.mode("overwrite").parquet(self._version(batch_id))
         self._prune(spark, batch_id - 2)
         return marked.where("fired and not _carried").select(*hits.columns)

@@ -1,4 +1,4 @@
-"""Streaming stages: raw logs -> general logs and events -> alarms, and flows.
+"""Streaming stages: raw logs -> general logs and events -> composite events -> alarms, and flows.
 
 Each stage is one query with its own checkpoint. Batches are written to folders named after the
 batch, so a replay overwrites what it wrote before: deliveries count once.
@@ -16,9 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from secflow.operators import alarms, events, normalize, parse
+from secflow.operators.correlate import CompositeRules, Context
 from secflow.sources import rules as rule_source
 from secflow.sources import sinks
+from secflow.streaming.correlation import CompositeCounter
 from secflow.streaming.counters import BatchCounter
+from secflow.streaming.state import EventTimeBuffer, StateTables
 
 # Batch intervals and the age at which rules are read again.
 LOG_INTERVAL = "1 second"
@@ -36,10 +39,47 @@ class RuleCache:
     _read_at: float = field(default=float("-inf"))
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
+        return rule_source.operator_types(rule_source.read_snapshot(spark, self.folder, name, self.newest(spark)))
+
+    def newest(self, spark: SparkSession) -> int:
+        """The version that a table read now would have."""
         if time.monotonic() - self._read_at >= self.refresh_seconds:
             self._version = rule_source.latest_version(spark, self.folder)
             self._read_at = time.monotonic()
-        return rule_source.read_snapshot(spark, self.folder, name, self._version)
+        return self._version
+
+    def at(self, spark: SparkSession, batch_id: int) -> RuleCache:
+        """The rules for a batch: here whatever is newest."""
+        return self
+
+
+class RuleLedger:
+    """Rules pinned to batches: the version a batch first read is noted before the batch works.
+
+    A batch that is replayed, also by a new process, reads its noted version again; other batches take
+    the newest complete one within the cache's refresh interval.
+    """
+
+    def __init__(self, cache: RuleCache, folder: str):
+        self.cache, self.notes = cache, StateTables(folder)
+
+    def at(self, spark: SparkSession, batch_id: int) -> RuleCache:
+        if not self.notes.has("rules", spark, batch_id):
+            noted = spark.createDataFrame([(self.cache.newest(spark),)], "rules long").coalesce(1)
+            self.notes.write("rules", noted, batch_id)
+            self.notes.prune(spark, batch_id)
+        version = self.notes.before(spark, "rules", batch_id + 1, "rules long").first()[0]
+        return RuleCache(self.cache.folder, float("inf"), version, time.monotonic())
+
+
+def composite_rules(tables: RuleCache, spark: SparkSession) -> CompositeRules:
+    names = ("me_define", "me_sub", "me_detail", "me_leak", "me_flow", "me_asset", "me_intel")
+    return CompositeRules(*[tables.table(spark, n) for n in names])
+
+
+def in_turn(order: EventTimeBuffer | None, rows: DataFrame, batch_id: int) -> DataFrame:
+    """Rows to count: all of the batch, or those whose turn it is by event time."""
+    return rows if order is None else order.release(rows, batch_id)[0]
 
 
 def start(
@@ -51,38 +91,87 @@ def start(
     return writer.trigger(**trigger).start()
 
 
-def log_stage(out: str, rules: RuleCache, identity: str | None = None) -> Callable[[DataFrame, int], None]:
-    """Raw lines -> raw logs with match flag, general logs, and built-in and user events."""
+def log_stage(
+    out: str, rules: RuleCache | RuleLedger, identity: str | None = None, with_log: bool = False
+) -> Callable[[DataFrame, int], None]:
+    """Raw lines -> raw logs with match flag, general logs, and built-in and user events.
+
+    ``with_log`` adds each event's log, which correlation reads.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        tables = rules.at(spark, batch_id)
         lines = parse.raw_parse(batch, identity=None if identity is None else F.col(identity))
-        matched = normalize.match_rules(lines, rules.table(spark, "log_rule")).persist(StorageLevel.MEMORY_AND_DISK)
+        matched = normalize.match_rules(lines, tables.table(spark, "log_rule")).persist(StorageLevel.MEMORY_AND_DISK)
         general = normalize.general_from_matches(matched)
         sinks.write_batch(normalize.flag_matches(matched).drop("hit"), f"{out}/raw_log", batch_id)
         sinks.write_batch(general, f"{out}/general_log", batch_id)
-        builtin = events.builtin_events(general, rules.table(spark, "event_def"))
+        builtin = events.builtin_events(general, tables.table(spark, "event_def"), with_log)
         user = events.user_events(
-            general, rules.table(spark, "user_event_def"), rules.table(spark, "user_event_field"))
+            general, tables.table(spark, "user_event_def"), tables.table(spark, "user_event_field"), with_log=with_log)
         sinks.write_batch(events.all_events(builtin, user), f"{out}/event", batch_id)
         matched.unpersist()
 
     return process
 
 
+def user_log_stage(
+    out: str, rules: RuleCache | RuleLedger, identity: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Raw lines -> general logs by the users' own rules, which hold for every device."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        tables = rules.at(batch.sparkSession, batch_id)
+        lines = parse.raw_parse(batch, identity=None if identity is None else F.col(identity))
+        general = normalize.normalize(lines, tables.table(batch.sparkSession, "user_log_rule"), device_scoped=False)
+        sinks.write_batch(sinks.general_log_docs(general, user=True), f"{out}/user_log", batch_id)
+
+    return process
+
+
+def correlation_stage(
+    out: str, rules: RuleCache | RuleLedger, context: Callable[[SparkSession], Context], state: str, cve: str = "infoid",
+    order: EventTimeBuffer | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Events with their log -> composite events and the links to their members.
+
+    ``context`` reads the lookup tables anew for each batch; ``cve`` names the events' vulnerability column.
+    """
+    counter = CompositeCounter(state, cve)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables = rules.at(spark, batch_id)
+        made, members = counter.composites(
+            in_turn(order, batch, batch_id), composite_rules(tables, spark), context(spark), batch_id)
+        sinks.write_batch(members, f"{out}/composite_member", batch_id)
+        sinks.write_batch(made, f"{out}/composite", batch_id)
+
+    return process
+
+
 def alarm_stage(
-    out: str, rules: RuleCache, state: str, kind: alarms.AlarmKind = alarms.SINGLE, mode: str = "cumulative"
+    out: str, rules: RuleCache | RuleLedger, state: str, kind: alarms.AlarmKind = alarms.SINGLE, mode: str = "cumulative",
+    order: EventTimeBuffer | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Events (or composite events) -> alarms."""
+    """Events (or composite events) -> alarms.
+
+    With ``order`` they count in event time: late ones stay in the tables of earlier stages, and counters
+    whose hits have all passed out of their limit are dropped.
+    """
     counter = BatchCounter(state, "policy_id", "ts", "event_id", mode=mode)
     detail = "policy_event" if kind is alarms.SINGLE else "policy_composite"
     shape = alarms.from_events if kind is alarms.SINGLE else alarms.from_composites
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        tables = rules.at(spark, batch_id)
         hits = alarms.policy_hits(
-            shape(batch), rules.table(spark, "policy_whole"), rules.table(spark, detail), kind)
-        sinks.write_batch(alarms.alarm_rows(counter.fires(hits, batch_id), kind), f"{out}/alarm", batch_id)
+            in_turn(order, shape(batch), batch_id), tables.table(spark, "policy_whole"), tables.table(spark, detail), kind)
+        mark = order.watermark(spark, batch_id + 1) if order is not None else None
+        fires = counter.fires(hits, batch_id, mark)
+        sinks.write_batch(alarms.alarm_rows(fires, kind), f"{out}/alarm", batch_id)
 
     return process
 

@@ -175,3 +175,33 @@ def test_composite_alarms_read_the_composite_rule(spark):
         [("p", "W", "d1 ", 60, 1)], "record_id string, alarm_id string, relation_event_rule_id string, control_time int, count int")
     alarm = alarms.alarms(alarms.from_composites(rows), whole, detail, alarms.COMPOSITE).first()
     assert alarm.content == "2024-01-01 00:00:00联合事件【name】发生告警!"
+
+
+def test_asof_at_any_distance(spark):
+    """Equal times, gaps of many buckets, events before the first and after the last statistic, null times."""
+    stats = [(0, 1), (10, 2), (10, 7), (59, 3), (60, 4), (500, 5), (501, None), (3000, 6)]
+    events = [-100, -1, 0, 9, 10, 11, 58, 59, 60, 119, 120, 300, 499, 500, 501, 700, 2999, 3000, 9999, None]
+    shift = 1_700_000_003
+    moment = lambda s: None if s is None else dt.datetime.fromtimestamp(s + shift, dt.timezone.utc)
+    lookup = spark.createDataFrame([(moment(t), b) for t, b in stats], "stat_time timestamp, bytes long")
+    given = spark.createDataFrame([(str(k), moment(t)) for k, t in enumerate(events)], "event_result_id string, open_time timestamp")
+    latest = {}
+    for t, b in stats:
+        latest[t] = max([x for x in (latest.get(t), b) if x is not None], default=None)
+    for seconds in (60, 3600):
+        got = {r.event_result_id: r for r in correlate.flow_asof(given, lookup, seconds=seconds).selectExpr(
+            "event_result_id", f"unix_seconds(stat_time) - {shift} AS t", "stat_bytes AS b").collect()}
+        assert len(got) == len(events)
+        for k, t in enumerate(events):
+            before = [x for x in latest if t is not None and x <= t]
+            expected = (max(before), latest[max(before)]) if before else (None, None)
+            assert (got[str(k)].t, got[str(k)].b) == expected, t
+    assert correlate.flow_asof(given, lookup.where("false")).where("stat_time IS NULL").count() == len(events)
+
+
+def test_asof_leaves_events_in_place(spark):
+    """With a small lookup the plan has no shuffle: events are neither hashed nor sorted."""
+    seen = correlate.flow_asof(corr_events(spark, SF), context(spark, SF).flow_stats)
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    body = plan.split("Subquery")[0]
+    assert "BroadcastHashJoin" in body and "hashpartitioning" not in body and "rangepartitioning" not in body
