@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from secflow.functions.search import count_at_most
 from secflow.functions.text import ip_to_long, number_in_any, stable_id
 from secflow.plans.physical import broadcast_if_bounded, evaluated_once
 
@@ -18,6 +19,48 @@ def in_ranges(rows: DataFrame, ip: str, ranges: list[str]) -> DataFrame:
     return numbered.where(number_in_any(F.col("ip_number"), ranges))
 
 
+#: Ranges are cut at the borders of blocks of so many addresses (a power of two), here those of one /16.
+RANGE_BLOCK_BITS = 16
+
+
+def range_blocks(ranges: DataFrame, begin: str = "begin_ip", end: str = "end_ip") -> DataFrame:
+    """One row per address block that a table of ranges touches, with its disjoint intervals in order.
+
+    Ranges are cut at block borders and merged inside a block, so no step looks at all of them, and a
+    block holds at most half as many intervals as addresses. Ranges without two addresses, or which
+    end before they begin, hold nothing.
+    """
+    bounds = ranges.select(ip_to_long(F.trim(begin)).alias("lo"), ip_to_long(F.trim(end)).alias("hi")).where("lo <= hi").distinct()
+    cut = bounds.withColumn("block", F.explode(F.sequence(
+        F.shiftright("lo", RANGE_BLOCK_BITS), F.shiftright("hi", RANGE_BLOCK_BITS))))
+    first = F.shiftleft("block", RANGE_BLOCK_BITS)
+    inside = cut.select(
+        "block", F.greatest("lo", first).alias("lo"),
+        F.least("hi", first + ((1 << RANGE_BLOCK_BITS) - 1)).alias("hi")).groupBy("block", "lo").agg(F.max("hi").alias("hi"))
+    before = Window.partitionBy("block").orderBy("lo")
+    reached = F.max("hi").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    begun = inside.withColumn("new", F.coalesce(F.col("lo") > reached + 1, F.lit(True)).cast("int"))
+    merged = begun.withColumn("part", F.sum("new").over(before)).groupBy("block", "part").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return merged.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("intervals"))
+
+
+def in_range_table(
+    rows: DataFrame, ip: str, ranges: DataFrame, begin: str = "begin_ip", end: str = "end_ip"
+) -> DataFrame:
+    """Rows whose address lies in some range of a table of any size, with the address as ``ip_number``.
+
+    Addresses meet the blocks in an equi-join, and their interval is found by halving inside the row.
+    """
+    numbered = evaluated_once(rows, "ip_number", ip_to_long(F.col(ip)))
+    blocks = broadcast_if_bounded(range_blocks(ranges, begin, end).withColumnsRenamed(
+        {"block": "_block", "intervals": "_intervals"}))
+    met = numbered.join(blocks, F.shiftright("ip_number", RANGE_BLOCK_BITS) == F.col("_block"))
+    place = count_at_most("_intervals", "lo", "ip_number")
+    held = evaluated_once(met, "_place", place).where("_place > 0")
+    return held.where(F.get("_intervals", F.col("_place") - 1)["hi"] >= F.col("ip_number")).select(*rows.columns, "ip_number")
+
+
 def flows_in_ranges(flows: DataFrame, ranges: list[str]) -> DataFrame:
     """Flows with a monitored end, and which end: the source counts first."""
     both = F.struct(ip_to_long(F.col("srcip")).alias("src"), ip_to_long(F.col("dstip")).alias("dst"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.predicates import (
     CONDITION_FIELDS, RULE_FIELDS, condition_holds, method_holds, rule_field_map)
+from secflow.functions.search import count_at_most
 from secflow.functions.text import stable_id
 from secflow.operators.events import FLOW_APP, literal_condition
 from secflow.operators.parse import condition_atoms
@@ -155,25 +156,17 @@ def detail_members(hits: DataFrame, events: DataFrame) -> DataFrame:
 def leak_flags(events: DataFrame, scans: DataFrame, cve: str = "cve") -> DataFrame:
     """Add has_leak, has_cve and has_port: the destination has a scan result / with the event's CVE / port.
 
-    Scans are reduced to distinct keys first, so each lookup keeps one row per event.
+    Scans become one row per address with its CVEs and ports, so one join answers all three questions
+    and keeps one row per event. An address holds each CVE and port once, however often it was scanned.
     """
-    ip = F.lower("ne_ip")
-    scan_keys = {
-        "has_leak": F.lit(""),
-        "has_cve": F.concat(F.lit("cve "), F.lower("leak_cve")),
-        "has_port": F.concat(F.lit("port "), F.lower(F.col("leak_port").cast("string")))}
-    event_keys = {
-        "has_leak": F.lit(""),
-        "has_cve": F.concat(F.lit("cve "), F.lower(cve)),
-        "has_port": F.concat(F.lit("port "), F.lower("dest_port"))}
-    known = broadcast_if_bounded(
-        scans.select(ip.alias("_ip"), F.explode(F.array(*scan_keys.values())).alias("_key"))
-        .where("_ip is not null and _key is not null").distinct().withColumn("_known", F.lit(True)))
-    result = events
-    for flag, key in event_keys.items():
-        result = result.join(known, (F.lower("dest_ip") == F.col("_ip")) & (key == F.col("_key")), "left")
-        result = result.withColumn(flag, F.coalesce("_known", F.lit(False))).drop("_ip", "_key", "_known")
-    return result
+    known = scans.where("ne_ip IS NOT NULL").groupBy(F.lower("ne_ip").alias("_ip")).agg(
+        F.sort_array(F.collect_set(F.lower("leak_cve"))).alias("_cves"),
+        F.sort_array(F.collect_set(F.lower(F.col("leak_port").cast("string")))).alias("_ports"))
+    joined = events.join(broadcast_if_bounded(known), F.lower("dest_ip") == F.col("_ip"), "left")
+    has = lambda values, key: F.coalesce(F.array_contains(values, F.lower(key)), F.lit(False))
+    return joined.withColumns({
+        "has_leak": F.col("_ip").isNotNull(), "has_cve": has("_cves", cve), "has_port": has("_ports", "dest_port"),
+    }).drop("_ip", "_cves", "_ports")
 
 
 def leak_holds(rule) -> Column:
@@ -280,15 +273,6 @@ def asof_buckets(stats: DataFrame, seconds: int) -> DataFrame:
         F.when(own, F.col("earlier")).otherwise(F.col("last")).alias("earlier"))
 
 
-def _at_or_before(seen: str, ts: str) -> Column:
-    """How many elements of a sorted array lie at or before a time, by halving."""
-    return F.expr(
-        f"aggregate(sequence(1, cast(ceil(log2(size({seen}) + 1)) as int) + 1), "
-        f"named_struct('lo', 0, 'hi', size({seen})), (s, k) -> CASE WHEN s.lo >= s.hi THEN s "
-        f"WHEN {seen}[(s.lo + s.hi) div 2].t <= {ts} THEN named_struct('lo', cast((s.lo + s.hi) div 2 + 1 as int), 'hi', s.hi) "
-        f"ELSE named_struct('lo', s.lo, 'hi', cast((s.lo + s.hi) div 2 as int)) END, s -> s.lo)")
-
-
 def flow_asof(events: DataFrame, stats: DataFrame, ts: str = "open_time", seconds: int = 3600) -> DataFrame:
     """Add the latest traffic statistic at or before each event: stat_time and stat_bytes.
 
@@ -301,7 +285,7 @@ def flow_asof(events: DataFrame, stats: DataFrame, ts: str = "open_time", second
         F.struct("bucket", F.coalesce(F.try_element_at("seen", F.lit(-1)), F.col("earlier")).alias("stat")), "bucket").alias("last"))
     joined = events.withColumn("_last", last.scalar()).join(
         broadcast_if_bounded(buckets), _bucket(F.col(ts), seconds) == F.col("bucket"), "left")
-    passed = _at_or_before("seen", f"`{ts}`")
+    passed = count_at_most("seen", "t", f"`{ts}`")
     found = (
         F.when(_bucket(F.col(ts), seconds) > F.col("_last.bucket"), F.col("_last.stat"))
         .when(passed > 0, F.get("seen", passed - 1)).otherwise(F.col("earlier")))

@@ -428,6 +428,12 @@ select md5('flow|' || source || '|' || position) as record_id, srcip, dstip, byt
     from {_named('app_flow_line')})""",
         "ip_range_filter": f"""select srcip, {_number('srcip')} as src_number, dstip, srcport, start_time
   from {_f('netflow')} where {_in_ranges('srcip')}""",
+        "ip_range_table": f"""with spans as (
+    select {_number('begin_ip')} as lo, {_number('end_ip').replace('cast(', 'try_cast(')} as hi
+    from {_f('monitored_range')}),
+  sources as (select srcip, {_number('srcip')} as src_number from (select distinct srcip from {_f('netflow')})),
+  held as (select * from sources where exists (select 1 from spans where src_number between lo and hi))
+  select f.srcip, src_number, dstip, srcport, start_time from {_f('netflow')} f join held on f.srcip = held.srcip""",
         "netflow_range": f"""select srcip, dstip, proto, packets, bytes, record_time from {_f('netflow')}
   where record_time >= timestamp '1997-01-01' and record_time < timestamp '1998-01-01' and srcip is not null
     and dstip is not null and packets is not null and bytes is not null and end_time is not null""",

@@ -250,6 +250,13 @@ def ip_range_filter(spark, sf_dir):
         "srcip", F.col("ip_number").alias("src_number"), "dstip", "srcport", "start_time")
 
 
+@query
+def ip_range_table(spark, sf_dir):
+    return assets.in_range_table(
+        frame(spark, sf_dir, "netflow"), "srcip", frame(spark, sf_dir, "monitored_range")).select(
+        "srcip", F.col("ip_number").alias("src_number"), "dstip", "srcport", "start_time")
+
+
 @query
 def netflow_range(spark, sf_dir):
     flows = readers.in_time_range(

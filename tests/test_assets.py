@@ -141,3 +141,26 @@ def test_profile_aggregates_before_the_shuffle(spark):
     discovery = assets.discover_assets(frame(spark, SF, "netflow"), frame(spark, SF, "registered"), MONITORED_RANGES)
     assert "BroadcastHashJoin" in discovery._jdf.queryExecution().executedPlan().toString()
     assert discovery.where(F.col("ip").isNull()).count() == 0
+
+
+def test_range_table_by_plain_search(spark):
+    """Overlapping, touching, nested, empty and malformed ranges, and ranges across block borders."""
+    import ipaddress
+    import random
+
+    rng = random.Random(4)
+    number = lambda ip: int(ipaddress.ip_address(ip))
+    text = lambda n: str(ipaddress.ip_address(n))
+    spans = [("10.0.0.5", "10.0.0.9"), ("10.0.0.8", "10.0.0.20"), ("10.0.0.21", "10.0.0.22"), ("10.0.0.1", "10.0.0.30"),
+             ("10.0.255.250", "10.2.0.3"), ("11.0.0.9", "11.0.0.1"), ("12.0.0.7", "12.0.0.7")]
+    spans += [(text(a), text(a + rng.randrange(3000))) for a in (number("10.3.0.0") + rng.randrange(60_000) for _ in range(60))]
+    rows = [(text(number("10.0.0.0") + k),) for k in range(40)] + [
+        (x,) for x in ("10.0.255.249", "10.0.255.250", "10.1.7.7", "10.2.0.3", "10.2.0.4", "11.0.0.5", "12.0.0.7", None, "x", "")]
+    rows += [(text(number("10.3.0.0") + rng.randrange(70_000)),) for _ in range(400)]
+    table = spark.createDataFrame([*spans, ("1.2.3", "1.2.3.4"), (None, "9.9.9.9"), spans[0]], "begin_ip string, end_ip string")
+    got = assets.in_range_table(spark.createDataFrame(rows, "ip string"), "ip", table)
+    held = [(number(a), number(b)) for a, b in spans]
+    expected = sorted(ip for (ip,) in rows if ip and ip.count(".") == 3 and any(a <= number(ip) <= b for a, b in held))
+    assert sorted(r.ip for r in got.collect()) == expected and 100 < len(expected) < 440
+    intervals = assets.range_blocks(table).select(F.explode("intervals").alias("i")).select("i.*").orderBy("lo").collect()
+    assert all(x.hi < y.lo for x, y in zip(intervals, intervals[1:]))

@@ -205,3 +205,18 @@ def test_asof_leaves_events_in_place(spark):
     plan = seen._jdf.queryExecution().executedPlan().toString()
     body = plan.split("Subquery")[0]
     assert "BroadcastHashJoin" in body and "hashpartitioning" not in body and "rangepartitioning" not in body
+
+
+def test_leak_lookup_is_one_join(spark):
+    flagged = correlate.leak_flags(corr_events(spark, SF), context(spark, SF).scans)
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    scans = spark.createDataFrame(
+        [("A.1", None, "80"), ("a.1", "CVE-1", None), ("a.1", "cve-1", "80"), (None, "cve-2", "22")],
+        "ne_ip string, leak_cve string, leak_port string")
+    rows = spark.createDataFrame(
+        [("1", "a.1", "80", "CVE-1"), ("2", "A.1", "22", None), ("3", None, "22", "cve-2"), ("4", "b", "80", "cve-1")],
+        "id string, dest_ip string, dest_port string, cve string")
+    got = {r.id: (r.has_leak, r.has_cve, r.has_port) for r in correlate.leak_flags(rows, scans).collect()}
+    no = (False, False, False)
+    assert got == {"1": (True, True, True), "2": (True, False, False), "3": no, "4": no}

@@ -45,10 +45,10 @@ def whole(spark):
 
 
 def test_stream_equals_batch_for_every_definition(spark, whole, tmp_path):
-    """Four micro-batches, one replayed by a new counter, fire the same composites with the same members."""
+    """Three micro-batches, one replayed by a new counter, fire the same composites with the same members."""
     composites, members = [], []
-    for batch, part in enumerate(_slices(corr_events(spark, SF), "open_time", 4)):
-        for attempt in range(2 if batch == 2 else 1):
+    for batch, part in enumerate(_slices(corr_events(spark, SF), "open_time", 3)):
+        for attempt in range(2 if batch == 1 else 1):
             counter = CompositeCounter(str(tmp_path / "state"))
             made, links = counter.composites(part, composite_rules(spark, SF), context(spark, SF), batch)
             found = _keys(made, "record_id", "me_def_id", "storage_time"), _keys(
@@ -60,11 +60,11 @@ def test_stream_equals_batch_for_every_definition(spark, whole, tmp_path):
     assert sorted(composites) == whole[0] and sorted(members) == whole[1]
     assert {"d1", "d3", "d4", "d6", "d9"} <= {c[1] for c in composites}
     # definitions that fired across a border: the state was needed
-    assert spark.read.parquet(str(tmp_path / "state" / "version=3" / "defs")).where("last_fire > 0").count() >= 5
+    assert spark.read.parquet(str(tmp_path / "state" / "version=2" / "defs")).where("last_fire > 0").count() >= 5
     # open hits stay below the counts, versions and pending folders go
-    open_hits = spark.read.parquet(str(tmp_path / "state" / "version=3" / "open")).groupBy("detail_id", "times").count()
+    open_hits = spark.read.parquet(str(tmp_path / "state" / "version=2" / "open")).groupBy("detail_id", "times").count()
     assert all(r["count"] < r.times for r in open_hits.collect())
-    assert sorted(p for p in os.listdir(tmp_path / "state") if p.startswith("version")) == ["version=2", "version=3"]
+    assert sorted(p for p in os.listdir(tmp_path / "state") if p.startswith("version")) == ["version=1", "version=2"]
 
 
 def test_members_from_many_batches(spark, tmp_path):
@@ -81,18 +81,18 @@ def test_members_from_many_batches(spark, tmp_path):
         "open_time", F.to_timestamp("at")).select(*[f.name for f in schema])
     counter = CompositeCounter(str(tmp_path / "state"))
     links, fired = [], []
-    for batch, (low, high) in enumerate([(0, 2), (2, 2), (2, 5), (5, 8)]):
+    for batch, (low, high) in enumerate([(0, 3), (3, 3), (3, 8)]):
         part = all_events.where(F.col("event_result_id").cast("int").between(low, high - 1))
         composites, members = counter.composites(part, given, context(spark, SF), batch)
         fired.append(composites.count())
         links += [r.event_result_id for r in members.collect()]
-    assert fired == [0, 0, 0, 1] and sorted(links) == [str(k) for k in range(7)]
+    assert fired == [0, 0, 1] and sorted(links) == [str(k) for k in range(7)]
 
 
 def test_stages_as_streams(spark, whole, tmp_path):
     """Event files -> composite stage -> composite alarms, as streaming queries."""
     source, out = str(tmp_path / "events"), str(tmp_path / "out")
-    for part in _slices(corr_events(spark, SF), "open_time", 3):
+    for part in _slices(corr_events(spark, SF), "open_time", 2):
         part.coalesce(1).write.mode("append").parquet(source)
     folder = str(tmp_path / "rules")
     names = ["me_define", "me_sub", "me_detail", "me_leak", "me_flow", "me_asset", "me_intel", "policy_whole", "policy_composite"]
@@ -264,7 +264,7 @@ def test_store_to_composite_alarms(spark, snapshots, tmp_path):
     correlation = jobs.correlation_stage(out, ledger, lambda s: context(s, SF), f"{out}/state")
     single = jobs.alarm_stage(out + "/single", cache, f"{out}/single_state")
     composite = jobs.alarm_stage(out + "/composite_alarm", cache, f"{out}/composite_state", alarms.COMPOSITE)
-    for batch, part in enumerate(_slices(lines.withColumn("at", at), "at", 3)):
+    for batch, part in enumerate(_slices(lines.withColumn("at", at), "at", 2)):
         log(part.select("value"), batch)
         made = spark.read.parquet(f"{out}/event/batch={batch}")
         correlation(made, batch)
