@@ -221,10 +221,11 @@ select concat(case when s_suppkey % 3 = 0 then '221.176.' else '221.177.' end, c
 from {supplier}""",
     # monitored ranges that grow with the data; some overlap, some cross a border of a /16, some are empty or malformed
     "monitored_range": """
-select concat('221.176.', cast(60 + s_suppkey * 7 % 30 as string), '.', cast(s_suppkey % 200 as string)) as begin_ip,
+select concat('221.176.', case when s_suppkey % 17 = 0 then '255' else cast(60 + s_suppkey * 7 % 30 as string) end, '.',
+    cast(s_suppkey % 200 as string)) as begin_ip,
   case when s_suppkey % 17 = 0 then concat('221.177.0.', cast(s_suppkey % 9 as string))
     when s_suppkey % 13 = 0 then '221.176.x.1' when s_suppkey % 11 = 0 then '221.176.1.1'
-    else concat('221.176.', cast(60 + s_suppkey * 7 % 30 as string), '.', cast(s_suppkey % 200 + s_suppkey % 6 as string)) end as end_ip
+    else concat('221.176.', cast(60 + s_suppkey * 7 % 30 as string), '.', cast(s_suppkey % 200 + s_suppkey % 40 as string)) end as end_ip
 from {supplier}
 where 60 + s_suppkey * 7 % 30 < 88""",
     "flow_cluster": """
