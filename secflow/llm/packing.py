@@ -31,8 +31,9 @@ NEARLY = 8
 #: Rows of a task of the packing rounds, and how many partitions merge into one after a round.
 TASK_ROWS = 1 << 18
 FAN = 8
-#: Units whose ids a worker keeps, the longest one kept, and characters handled together.
+#: Units and parts whose ids a worker keeps, the longest unit kept, and characters handled together.
 KEPT_UNITS = 300_000
+KEPT_PARTS = 800_000
 KEPT_LENGTH = 24
 BATCH_CHARS = 4_000_000
 
@@ -78,7 +79,7 @@ class WordIds:
     batch in one call. Units with other letters than Latin-1's go to the whole library.
     """
 
-    def __init__(self, path: str, kept: int = KEPT_UNITS):
+    def __init__(self, path: str, kept: int = KEPT_UNITS, kept_parts: int = KEPT_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -97,7 +98,7 @@ class WordIds:
         suffix = parts["model"]["end_of_word_suffix"]
         self.ends = np.zeros(max(self.library.get_vocab().values()) + 1, bool)
         self.ends[[k for word, k in parts["model"]["vocab"].items() if word.endswith(suffix)]] = True
-        self.kept = kept
+        self.kept, self.kept_parts = kept, kept_parts
         self.units: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"\n": _BREAK}
 
@@ -122,7 +123,7 @@ class WordIds:
         plain = list(new - odd)
         divided = _PARTS.findall("\n".join(plain).lower())
         ask = list(set(divided).difference(self.parts))
-        if len(self.parts) + len(ask) > self.kept:
+        if len(self.parts) + len(ask) > self.kept_parts:
             self.parts = {"\n": _BREAK}
             ask = list(set(divided).difference(self.parts))
         if ask:
