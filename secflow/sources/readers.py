@@ -43,13 +43,21 @@ def query_logs(logs: DataFrame, sql: str, view: str = "original_log") -> DataFra
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", files_per_batch: int | None = None,
+    identity: str | None = None,
 ) -> DataFrame:
-    """Stream of files; ``files_per_batch`` is the rate limit."""
+    """Stream of files; ``files_per_batch`` is the rate limit.
+
+    ``identity`` adds a column that names each row by its file and its place there, so that equal
+    messages stay apart in any batch and replay. Only Parquet files know their rows' places.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    rows = reader.load(path)
+    if identity is None:
+        return rows
+    return rows.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias(identity))
 
 
 def kafka_stream(

@@ -13,15 +13,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
-from secflow.operators import alarms, events, normalize, parse
+from secflow.operators import alarms, assets, events, normalize, parse
 from secflow.operators.correlate import CompositeRules, Context
+from secflow.sources import readers, sinks
 from secflow.sources import rules as rule_source
-from secflow.sources import sinks
 from secflow.streaming.correlation import CompositeCounter
 from secflow.streaming.counters import BatchCounter
-from secflow.streaming.state import EventTimeBuffer, StateTables
+from secflow.streaming.state import EventTimeBuffer, Outputs, StateTables
 
 # Batch intervals and the age at which rules are read again.
 LOG_INTERVAL = "1 second"
@@ -111,6 +112,7 @@ def log_stage(
         user = events.user_events(
             general, tables.table(spark, "user_event_def"), tables.table(spark, "user_event_field"), with_log=with_log)
         sinks.write_batch(events.all_events(builtin, user), f"{out}/event", batch_id)
+        Outputs(out).commit(spark, batch_id)
         matched.unpersist()
 
     return process
@@ -145,8 +147,7 @@ def correlation_stage(
         tables = rules.at(spark, batch_id)
         made, members = counter.composites(
             in_turn(order, batch, batch_id), composite_rules(tables, spark), context(spark), batch_id)
-        sinks.write_batch(members, f"{out}/composite_member", batch_id)
-        sinks.write_batch(made, f"{out}/composite", batch_id)
+        Outputs(out).publish({"composite_member": members, "composite": made}, batch_id)
 
     return process
 
@@ -176,24 +177,67 @@ def alarm_stage(
     return process
 
 
-def flow_stage(out: str) -> Callable[[DataFrame, int], None]:
-    """JSON arrays of flows -> one map per flow."""
+def flow_stage(out: str, identity: str | None = None) -> Callable[[DataFrame, int], None]:
+    """JSON arrays of flows -> one map per flow. ``identity`` names the column that tells equal messages apart."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(parse.flow_json_explode(batch), f"{out}/netflow", batch_id)
+        named = None if identity is None else F.col(identity)
+        sinks.write_batch(parse.flow_json_explode(batch, identity=named), f"{out}/netflow", batch_id)
 
     return process
 
 
-def app_flow_stage(out: str) -> Callable[[DataFrame, int], None]:
-    """Application-flow lines -> one map per line."""
+def app_flow_stage(out: str, identity: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Application-flow lines -> one map per line. ``identity`` names the column that tells equal lines apart."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(parse.appflow_line_parse(batch), f"{out}/app_flow", batch_id)
+        named = None if identity is None else F.col(identity)
+        sinks.write_batch(parse.appflow_line_parse(batch, identity=named), f"{out}/app_flow", batch_id)
 
     return process
 
 
+def asset_stage(
+    out: str, registered: Callable[[SparkSession], DataFrame], ranges: list[str]
+) -> Callable[[DataFrame, int], None]:
+    """Flows -> assets seen for the first time, inserted if absent.
+
+    A batch adds the addresses that neither the register nor a committed earlier batch holds; its replay
+    sees the same earlier batches and writes the same rows again.
+    """
+    outputs = Outputs(out)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = outputs.read(spark, "asset", "ip string", before=batch_id)
+        outputs.publish({"asset": assets.discover_assets(batch, registered(spark), ranges, known)}, batch_id)
+
+    return process
+
+
+def committed(
+    process: Callable[[DataFrame, int], None], out: str, name: str, schema: StructType | str
+) -> Callable[[DataFrame, int], None]:
+    """A stage fed by the commit records of the stage before it: ``process`` gets the rows of each record's batch.
+
+    Several stages may read one output, each by a stream of its own over the records.
+    """
+
+    def over_records(records: DataFrame, batch_id: int) -> None:
+        # one number per batch of the stage before
+        batches = sorted(r.done for r in records.select("done").distinct().collect())
+        paths = [f"{out}/{name}/batch={b}" for b in batches]
+        spark = records.sparkSession
+        process(spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema), batch_id)
+
+    return over_records
+
+
+def commit_stream(spark: SparkSession, out: str, records_per_batch: int = 1) -> DataFrame:
+    """Commit records of a stage as a stream."""
+    return readers.file_stream(spark, f"{out}/commits/*", "done long", files_per_batch=records_per_batch)
+
+
 def general_log_stream(lines: DataFrame, rules: DataFrame, identity: str | None = None) -> DataFrame:
     """Stateless streaming form of parse and normalise, for rules fixed at the start."""
     parsed = parse.raw_parse(lines, identity=None if identity is None else F.col(identity))

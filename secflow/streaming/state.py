@@ -61,6 +61,45 @@ class StateTables:
             remove(spark, f"{self.folder}/version={batch_id - 2}")
 
 
+class Outputs:
+    """Several outputs of a stage that become visible together.
+
+    A batch writes each output to ``folder/name/batch=i`` and then one commit record. Readers see the
+    batches that have a record, so a crash between two outputs shows nothing of its batch, and the replay
+    overwrites what was written.
+    """
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def publish(self, outputs: dict[str, DataFrame], batch_id: int) -> None:
+        for name, rows in outputs.items():
+            rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
+        self.commit(next(iter(outputs.values())).sparkSession, batch_id)
+
+    def commit(self, spark: SparkSession, batch_id: int) -> None:
+        record = spark.createDataFrame([(batch_id,)], "done long").coalesce(1)
+        record.write.mode("overwrite").parquet(f"{self.folder}/commits/batch={batch_id}")
+
+    def batches(self, spark: SparkSession) -> list[int]:
+        """Committed batches in order."""
+        found = []
+        for batch in batches_in(spark, f"{self.folder}/commits"):
+            place, files = _place(spark, f"{self.folder}/commits/batch={batch}/_SUCCESS")
+            if files.exists(place):
+                found.append(batch)
+        return found
+
+    def read(
+        self, spark: SparkSession, name: str, schema: StructType | str, first: int = 0, before: int | None = None
+    ) -> DataFrame:
+        """Rows of committed batches, from ``first`` up to but not ``before`` another; empty if there are none."""
+        wanted = [b for b in self.batches(spark) if b >= first and (before is None or b < before)]
+        if not wanted:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*[f"{self.folder}/{name}/batch={b}" for b in wanted])
+
+
 class EventTimeBuffer:
     """Rows in event-time order over micro-batches.
 

@@ -5,14 +5,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from secflow.operators import alarms, correlate, events, normalize, parse
+from secflow.operators import alarms, assets, correlate, events, normalize, parse
 from secflow.operators.threshold import threshold_fire
-from secflow.plans.tables import composite_rules, context, corr_events, frame
+from secflow.plans.tables import MONITORED_RANGES, composite_rules, context, corr_events, frame
 from secflow.sources import readers, rules, sinks
 from secflow.streaming import jobs
 from secflow.streaming.correlation import CompositeCounter
 from secflow.streaming.counters import BatchCounter
-from secflow.streaming.state import EventTimeBuffer, StateTables
+from secflow.streaming.state import EventTimeBuffer, Outputs, StateTables
 
 SF = "/root/testdata/sf0.001"
 
@@ -313,3 +313,62 @@ def test_replayed_batch_reads_its_rules_again(spark, tmp_path):
     rules.write_snapshot({"r": one.where("false")}, folder, 3)
     assert [count(1), count(2)] == [2, 0]
     assert StateTables(notes).has("rules", spark, 1) and not StateTables(notes).has("rules", spark, 0)
+
+
+# --- several outputs, first sightings, identity -----------------------------------------------------
+
+
+def test_crash_between_outputs_shows_nothing(spark, tmp_path):
+    outputs = Outputs(str(tmp_path))
+    rows = spark.range(3).selectExpr("id")
+    broken = rows.selectExpr("id", "raise_error('lost') AS x")
+    outputs.publish({"a": rows, "b": rows}, 0)
+    with pytest.raises(Exception, match="lost"):
+        outputs.publish({"a": rows, "b": broken}, 1)
+    assert os.path.exists(tmp_path / "a" / "batch=1")
+    assert outputs.batches(spark) == [0]
+    assert outputs.read(spark, "a", "id long").count() == outputs.read(spark, "b", "id long").count() == 3
+    for _ in range(2):
+        outputs.publish({"a": rows, "b": rows}, 1)
+    assert outputs.batches(spark) == [0, 1]
+    assert outputs.read(spark, "a", "id long").count() == 6 and outputs.read(spark, "a", "id long", before=1).count() == 3
+
+
+def test_two_stages_read_one_output(spark, tmp_path):
+    """Both readers of an output see its committed batches only, each batch once."""
+    out, got = str(tmp_path / "out"), {"alarms": [], "correlation": []}
+    outputs = Outputs(out)
+    for batch in range(3):
+        outputs.publish({"event": spark.range(batch, batch + 2).selectExpr("id")}, batch)
+    spark.range(100, 101).selectExpr("id").write.parquet(f"{out}/event/batch=3")  # not committed
+    for name, seen in got.items():
+        stage = jobs.committed(lambda rows, _, seen=seen: seen.append(_keys(rows, "id")), out, "event", "id long")
+        query = jobs.start(jobs.commit_stream(spark, out), stage, str(tmp_path / name), None)
+        query.awaitTermination()
+        assert query.exception() is None
+    assert sorted(got["alarms"]) == sorted(got["correlation"]) == [[(0,), (1,)], [(1,), (2,)], [(2,), (3,)]]
+
+
+def test_assets_are_inserted_once(spark, tmp_path):
+    flows, registered = frame(spark, SF, "netflow"), frame(spark, SF, "registered")
+    stage = jobs.asset_stage(str(tmp_path), lambda s: frame(s, SF, "registered"), MONITORED_RANGES)
+    for batch, part in enumerate(_slices(flows, "record_time", 3)):
+        stage(part, batch)
+        stage(part, batch)  # a replay adds nothing
+    made = spark.read.parquet(f"{tmp_path}/asset")
+    whole = assets.discover_assets(flows, registered, MONITORED_RANGES)
+    columns = ("record_id", "ip", "storage_time")
+    assert _keys(made, *columns) == _keys(whole, *columns) != []
+    assert made.select("batch").distinct().count() >= 2
+
+
+def test_equal_messages_keep_their_ids_apart(spark, tmp_path):
+    message = frame(spark, SF, "flow_message").limit(1).collect()[0].value
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for _ in range(2):
+        spark.createDataFrame([(message,)] * 3, "value string").coalesce(1).write.mode("append").parquet(source)
+    stream = readers.file_stream(spark, source, "value string", files_per_batch=1, identity="source_id")
+    query = jobs.start(stream, jobs.flow_stage(out, "source_id"), str(tmp_path / "cp"), None)
+    query.awaitTermination()
+    made = spark.read.parquet(f"{out}/netflow")
+    assert made.count() == 12 and made.select("record_id").distinct().count() == 12
