@@ -38,25 +38,22 @@ def base_features(docs: DataFrame) -> DataFrame:
 def _with_repeats(rows: DataFrame) -> DataFrame:
     """Add n_repeat_words: words inside windows of three that occur twice or more in the text.
 
-    Windows become hashes; hash and place share a long, so sorting brings equal windows together.
-    Each place whose window is repeated covers three words, less what the next place covers.
+    Windows are sorted by hash, words and place, so equal ones stand side by side whatever the hash
+    does. Each place whose window is repeated covers three words, less what the next place covers.
     """
-    # hash in the high bits, place of the window in the low ones
-    rows = rows.withColumn("_low", F.expr("shiftleft(1L, cast(ceil(log2(n_words + 2)) as int))"))
     rows = rows.withColumn("_n", F.expr("cast(greatest(n_words - 2, 0) as int)"))
     windows = "arrays_zip(slice(_words, 1, _n), slice(_words, 2, _n), slice(_words, 3, _n))"
     rows = evaluated_once(rows, "_sorted", F.expr(
-        f"sort_array(transform({windows}, (z, k) -> (xxhash64(z) & -_low) | cast(k as bigint)))")).drop("_words", "_lines")
-    # a place counts if its neighbour in the order has the same hash bits
-    rows = evaluated_once(rows, "_places", F.expr("""
-        sort_array(filter(transform(_sorted, (x, k) ->
-          if((k > 0 and (x & -_low) = (_sorted[k - 1] & -_low))
-             or (k + 1 < _n and (x & -_low) = (get(_sorted, k + 1) & -_low)), x & (_low - 1), -1L)), x -> x >= 0))"""))
+        f"sort_array(transform({windows}, (z, k) -> struct(xxhash64(z) as h, z as z, k as k)))")).drop("_words", "_lines")
+    same = "(x.h = get(_sorted, {0}).h and x.z = get(_sorted, {0}).z)"
+    rows = evaluated_once(rows, "_places", F.expr(f"""
+        sort_array(transform(filter(_sorted, (x, i) ->
+          (i > 0 and {same.format("i - 1")}) or (i + 1 < _n and {same.format("i + 1")})), x -> cast(x.k as bigint)))"""))
     rows = rows.drop("_sorted")
     repeated = F.expr("""
         aggregate(transform(_places, (p, k) -> if(k + 1 < size(_places), least(3L, get(_places, k + 1) - p), 3L)),
                   0L, (a, x) -> a + x)""")
-    return rows.withColumn("n_repeat_words", repeated).drop("_places", "_low", "_n")
+    return rows.withColumn("n_repeat_words", repeated).drop("_places", "_n")
 
 
 def host_rates(flags: DataFrame, rules: list[str]) -> DataFrame:
