@@ -2,6 +2,7 @@
 
 import pytest
 from fixtures import CLASHING, awkward, rows_of, with_clashes
+from pyspark.sql import functions as F
 
 from secflow.llm import (
     decontamination, language, mixing, near_duplicates, personal, queries, rules, stages, token_files, tokens, toxicity,
@@ -63,13 +64,30 @@ def test_pages(spark):
     assert got.count() == 6 and wrappers.main_text(pages.where("false")).count() == 0
 
 
-STAGES = [stages.known_languages, stages.without_near_duplicates, stages.mixed_sources]
+STAGES = [
+    stages.known_languages, stages.without_near_duplicates, stages.without_benchmark, stages.mixed_sources, stages.token_ids]
+
+
+@pytest.fixture(scope="module")
+def bench_dir(spark):
+    folder = shared_path(spark, "bench")
+    _bench(spark).write.parquet(f"{folder}/benchmark.parquet")
+    return folder
 
 
 @pytest.mark.parametrize("stage", STAGES)
-def test_stages(spark, stage):
+def test_stages(spark, bench_dir, stage):
     docs = awkward(spark)
-    got = stage(spark, docs, "")
-    assert got.columns == docs.columns
-    assert got.count() > 0 and stage(spark, docs.where("false"), "").count() == 0
-    assert set(CLASHING) & set(got.columns) == set()
+    got = stage(spark, docs, bench_dir)
+    last = stage is stages.token_ids
+    assert last or got.columns == docs.columns
+    assert got.count() > 0 and stage(spark, docs.where("false"), bench_dir).count() == 0
+    # extra columns keep names and values, also those that a stage itself adds
+    more = ["target", "taken", "rejected", "source_size", "_extra_0", "a.b"]
+    wide = with_clashes(docs).withColumns({c: F.lit(7) for c in more})
+    both = stage(spark, wide, bench_dir)
+    assert rows_of(both.select(got.columns)) == rows_of(got)
+    if not last:
+        assert both.columns == wide.columns
+        extra = [f"`{c}`" for c in (*CLASHING, *more)]
+        assert {tuple(r) for r in both.select(extra).collect()} == {(7,) * len(extra)}
