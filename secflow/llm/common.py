@@ -58,12 +58,16 @@ def per_process(key: Any, make: Callable[[], Any]) -> Any:
     """A value made once per Python worker process.
 
     Worker functions travel by value, so their module's globals are new in every task; the value
-    hangs on a module of this process instead.
+    hangs on a module of this process instead. Workers outlive a query: values of one kind (the key, or
+    its first part) make way when another kind is asked for, so that stages do not add up in memory.
     """
-    held = sys.modules.setdefault("_secflow_held", types.ModuleType("_secflow_held")).__dict__
-    if key not in held:
-        held[key] = make()
-    return held[key]
+    store = sys.modules.setdefault("_secflow_held", types.ModuleType("_secflow_held"))
+    kind = key[0] if isinstance(key, tuple) else key
+    if getattr(store, "kind", None) != kind:
+        store.kind, store.values = kind, {}
+    if key not in store.values:
+        store.values[key] = make()
+    return store.values[key]
 
 
 #: SQL of a one-row table of crc32's 256 steps, and of the crc32 of a list of bytes by that table.

@@ -165,8 +165,11 @@ def train(counts) -> Models:
     return Models(langs, grams, logp, lower, backoff, places)
 
 
-def scored(docs: DataFrame, models: Models) -> DataFrame:
-    """doc_id, best (language or ``und``), entropy (nats per character), gap to the next, n (characters), others."""
+def scored(docs: DataFrame, models: Models, with_text: bool = False) -> DataFrame:
+    """doc_id, best (language or ``und``), entropy (nats per character), gap to the next, n (characters), others.
+
+    ``with_text`` returns the text too, which passes through the workers once.
+    """
     # plain values: broadcasts, unlike functions, do not carry the code of classes
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(models).values()))
 
@@ -189,14 +192,16 @@ def scored(docs: DataFrame, models: Models) -> DataFrame:
                 entropy.append(float(cost[order[0]]))
                 gap.append(float(cost[order[1]] - cost[order[0]]) if len(order) > 1 else None)
                 length.append(n)
+            carried = [k for k in range(batch.num_columns) if k != 1 or with_text]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[batch.column(k) for k in range(2, batch.num_columns)], pa.array(best, pa.string()),
+                [*[batch.column(k) for k in carried], pa.array(best, pa.string()),
                  pa.array(entropy, pa.float64()), pa.array(gap, pa.float64()), pa.array(length, pa.int64())],
-                names=["doc_id", *batch.schema.names[2:], "best", "entropy", "gap", "n"])
+                names=[*[batch.schema.names[k] for k in carried], "best", "entropy", "gap", "n"])
 
     names = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *names)
     fields = [f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names]
+    fields = ["text string", *fields] if with_text else fields
     schema = ", ".join(["doc_id long", *fields, "best string", "entropy double", "gap double", "n long"])
     return rows.mapInArrow(score, schema)
 
@@ -215,10 +220,10 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, keep_columns: b
     counts = ngram_counts(docs.where(~fold)).toPandas()
     models = train(counts)
     base = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    extra = [] if not keep_columns else [
-        F.col(c).alias(f"_c_{k}") for k, c in enumerate(docs.columns)]
+    others = {c: f"_c_{k}" for k, c in enumerate(docs.columns) if c != "text"} if keep_columns else {}
+    extra = [F.col(f"`{c}`").alias(n) for c, n in others.items()]
     rows = base.select("doc_id", "text", fold, F.col("lang").alias("_lang"), *extra)
-    result = scored(rows, models)
+    result = scored(rows, models, with_text=keep_columns)
     result = stored(result, "languages")
     trained = result.where(~F.col("held_out") & (F.col("_lang") == F.col("best")) & (F.col("n") >= 20))
     root = F.sqrt("n")
@@ -233,9 +238,7 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, keep_columns: b
     score = F.when(unknown, 0.0).otherwise(
         1 / (1 + F.exp(-F.least("n", F.lit(20)) * F.coalesce("gap", F.lit(50.0)))))
     rejected = unknown | F.coalesce(F.col("entropy") > limit, F.lit(False))
-    out = result.select(
-        "doc_id", "held_out", F.col("best").alias("lang_pred"), score.alias("score"), rejected.alias("rejected"),
-        *[F.col(f"_c_{k}") for k in range(len(extra))])
     if keep_columns:
-        out = out.select("rejected", *[F.col(f"_c_{k}").alias(c) for k, c in enumerate(docs.columns)])
-    return out
+        return result.select(rejected.alias("rejected"), *[F.col(others.get(c, c)).alias(c) for c in docs.columns])
+    return result.select(
+        "doc_id", "held_out", F.col("best").alias("lang_pred"), score.alias("score"), rejected.alias("rejected"))

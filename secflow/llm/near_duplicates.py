@@ -172,7 +172,7 @@ def _nodes(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """th and shingles (sorted 32-bit names) of the wanted texts; ``wanted`` has each th once."""
+    """th and shingles (the different 32-bit names) of the wanted texts; ``wanted`` has each th once."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,33 +180,26 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for a, b in _groups(sizes, BATCH_BYTES):
                 texts = _texts(batch.column(1).slice(a, b - a))
                 owner, hashes, _ = shingles(texts)
-                names = (hashes >> _U(32)).astype("<u4")
-                cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-                values = [names[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(values, pa.binary())], names=["th", "shingles"])
+                names = (hashes >> _U(32)).astype(np.uint32)
+                new = np.ones(len(names), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (names[1:] != names[:-1])
+                cuts = np.searchsorted(owner[new], np.arange(len(texts) + 1)).astype(np.int32)
+                values = pa.ListArray.from_arrays(pa.array(cuts), pa.array(names[new].view(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), values], names=["th", "shingles"])
 
     rows = docs.where(F.col("text").isNotNull()).select(digest().alias("th"), "text")
     named = rows.join(broadcast_if_bounded(wanted), "th", "left_semi")
-    return named.mapInArrow(sets, "th string, shingles binary").dropDuplicates(["th"])
+    return named.mapInArrow(sets, "th string, shingles array<int>").dropDuplicates(["th"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose shingle sets have at least the similarity."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                one, two = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(common >= similarity * (len(one) + len(two) - common) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
+    """Pairs (a, b) whose shingle sets have at least the similarity; sets are compared row by row in the join."""
     left = sets.select(F.col("th").alias("_a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("th").alias("_b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a string, b string")
+    common = F.size(F.array_intersect("sa", "sb"))
+    enough = common * (1 + similarity) >= similarity * (F.size("sa") + F.size("sb")) - 1e-9
+    return both.where(enough).select("a", "b")
 
 
 def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -259,8 +252,7 @@ def _counts(rest: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                np.add.at(total, np.frombuffer(x, "<u4") % CELLS, 1)
+            np.add.at(total, batch.column(0).flatten().to_numpy().view(np.uint32) % CELLS, 1)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["cell", "c"])
 
@@ -282,15 +274,22 @@ def _rest(rest: DataFrame, sets: DataFrame, found: DataFrame, similarity: float)
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            for k, x in enumerate(batch.column(2).to_pylist()):
-                names = np.frombuffer(x, "<u4")
-                n = len(names)
-                size = n - int(np.ceil(similarity * n - 1e-9)) + 1
-                first = names[np.lexsort((names, counts[names % CELLS]))[:size]].astype(np.int64)
-                own = [pa.array([batch.column(c)[k].as_py()] * len(first), pa.string()) for c in (0, 1)]
+            names = batch.column(2).flatten().to_numpy().view(np.uint32)
+            sizes = pc.list_value_length(batch.column(2)).to_numpy()
+            ends = np.cumsum(sizes)
+            # about 200,000 shingles at once: most go no further than this task
+            for a, b in _groups(sizes.tolist(), 200_000):
+                first = ends[a] - sizes[a]
+                own = names[first:ends[b - 1]]
+                row = np.repeat(np.arange(a, b), sizes[a:b])
+                own = own[np.lexsort((own, counts[own % CELLS], row))]
+                place = np.arange(len(own)) - (ends - sizes - first)[row]
+                keep = place <= sizes[row] - np.ceil(similarity * sizes[row] - 1e-9)
+                row = row[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array([n] * len(first), pa.int64()), pa.array(first),
-                     pa.array(np.arange(len(first)), pa.int64())], names=["th", "label", "n", "s", "p"])
+                    [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
+                     pa.array(sizes[row].astype(np.int64)), pa.array(own[keep].astype(np.int64)),
+                     pa.array(place[keep].astype(np.int64))], names=["th", "label", "n", "s", "p"])
 
     heads = stored(rest.mapInArrow(prefix, "th string, label string, n long, s long, p long"), "prefixes")
     common = heads.groupBy("s").agg(
