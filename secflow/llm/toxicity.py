@@ -320,13 +320,21 @@ def _projected(words: Words, p: Params) -> Words:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, per_label: int) -> DataFrame:
-    """text and toxic of at most ``per_label`` labelled rows of either label, outside the held-out fold."""
+    """doc_id, text and toxic of at most ``per_label`` labelled rows of either label, outside the held-out fold.
+
+    Rows are chosen by id and a hash of their text; whole texts are fetched of the chosen rows only, by
+    a broadcast of their names, at most ``2 * per_label``. Equal rows are chosen once.
+    """
     known = labels.where("toxic is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic"))
     rows = docs.where((bucket_of(F.col("doc_id"), folds) != held_out) & F.col("text").isNotNull())
-    rows = rows.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id"))
+    rows = rows.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_h"))
+    named = rows.select("doc_id", "_h").distinct().join(known, F.col("doc_id") == F.col("_id"))
     order = F.xxhash64("doc_id", F.lit("sample"))
-    parts = [rows.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(per_label) for k in (0, 1)]
-    return parts[0].unionByName(parts[1]).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    parts = [named.where(F.col("toxic") == k).orderBy(order, "doc_id", "_h").limit(per_label) for k in (0, 1)]
+    chosen = parts[0].unionByName(parts[1]).select(
+        F.col("doc_id").alias("_id"), F.col("_h").alias("_name"), F.col("toxic").cast("int").alias("toxic"))
+    met = rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("_h") == F.col("_name")))
+    return met.dropDuplicates(["doc_id", "_h"]).select("doc_id", "text", "toxic")
 
 
 def toxicity(
