@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
 from collections.abc import Callable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,14 @@ def same_row(left: DataFrame, right: DataFrame, keys: list[str], how: str = "lef
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def hand_back() -> None:
+    """Give the system what the allocators of this worker hold and no longer use; workers stay between stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def per_process(key: Any, make: Callable[[], Any]) -> Any:
     """A value made once per Python worker process.
 
@@ -65,6 +75,7 @@ def per_process(key: Any, make: Callable[[], Any]) -> Any:
     kind = key[0] if isinstance(key, tuple) else key
     if getattr(store, "kind", None) != kind:
         store.kind, store.values = kind, {}
+        hand_back()
     if key not in store.values:
         store.values[key] = make()
     return store.values[key]

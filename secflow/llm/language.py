@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from secflow.llm.common import bucket_of, per_process, stored
+from secflow.llm.common import bucket_of, hand_back, per_process, stored
 
 ORDER = 3
 CLASS_BITS = 7
@@ -95,6 +95,8 @@ def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
                     else:
                         np.add.at(counts, grams, 1)
         yield from emit()
+        held.clear()
+        hand_back()
 
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from secflow.llm.common import per_process, stored
+from secflow.llm.common import hand_back, per_process, stored
 from secflow.plans.physical import broadcast_if_bounded
 
 SHINGLE = 5
@@ -163,6 +163,7 @@ def _nodes(docs: DataFrame) -> DataFrame:
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n, pa.int64()),
                      pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64()))],
                     names=["th", "doc_id", "n", "bands"])
+        hand_back()
 
     rows = docs.where(F.col("text").isNotNull()).select(
         digest().alias("th"), F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -186,6 +187,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 cuts = np.searchsorted(owner[new], np.arange(len(texts) + 1)).astype(np.int32)
                 values = pa.ListArray.from_arrays(pa.array(cuts), pa.array(names[new].view(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), values], names=["th", "shingles"])
+        hand_back()
 
     rows = docs.where(F.col("text").isNotNull()).select(digest().alias("th"), "text")
     named = rows.join(broadcast_if_bounded(wanted), "th", "left_semi")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from secflow.llm.coder import BLOCK, decode_blocks, encode_blocks
+from secflow.llm.common import hand_back
 from secflow.llm.tokens import vocabulary
 
 END_ID = 2
@@ -71,6 +72,8 @@ def write_tokens(
                         start, seg, held, doc_ids, streams = start + held, seg + 1, 0, [], []
         if doc_ids:
             yield _segment(part, seg, start, doc_ids, streams)
+        doc_ids, streams = [], []
+        hand_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = ["doc_id", F.xxhash64("text")]
@@ -108,6 +111,7 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
                     columns.append(pa.array([t.astype(np.int64) for t in texts], pa.list_(pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        hand_back()
 
     schema = "part int, doc_id long, local long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     decoded = segments.mapInArrow(decode, schema)
