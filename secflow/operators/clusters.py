@@ -1,20 +1,15 @@
-"""Two-level k-means over traffic profiles. Every fit is a distributed job; nothing is collected but
-centres and scores."""
+"""Two-level k-means over traffic profiles. Nothing is collected but centres and scores."""
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from secflow.functions.text import euclidean
-from secflow.operators.profile import (
-    APP_FEATURES, FLOW_FEATURES, MIN_GROUP, cluster_sizes, min_max_normalize, subcluster_features)
+from secflow.operators import lloyd
+from secflow.operators.profile import APP_FEATURES, FLOW_FEATURES, subcluster_features
 
 # Candidate cluster counts and iterations.
 CANDIDATES = (5,)
@@ -30,69 +25,37 @@ def fit(points: DataFrame, k: int, features: str = "features", iterations: int =
     return KMeans(k=k, maxIter=iterations, seed=SEED, featuresCol=features, predictionCol="cluster").fit(points)
 
 
-def scores(points: DataFrame, candidates=CANDIDATES, features: str = "features") -> dict[int, tuple[float, float, KMeansModel]]:
-    """Silhouette, within-cluster cost and model of each candidate count."""
-    result = {}
-    for k in candidates:
-        model = fit(points, k, features)
-        predicted = model.transform(points)
-        found = cluster_sizes(predicted).limit(2).count()
-        evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
-        silhouette = evaluator.evaluate(predicted) if found > 1 else 0.0
-        result[k] = (silhouette, model.summary.trainingCost, model)
-    return result
-
-
-def _normalised_points(features: DataFrame, names: list[str]) -> DataFrame:
-    scaled = min_max_normalize(features, names)
-    return assemble(scaled, [n + "_nor" for n in names]).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _with_distance(model: KMeansModel, points: DataFrame) -> DataFrame:
-    """Cluster and distance to its centre, both in the space the model was trained in."""
-    centres = [[float(x) for x in c] for c in model.clusterCenters()]
-    middle = F.array(*[F.array(*[F.lit(x) for x in c]) for c in centres])
-    predicted = model.transform(points)
-    return predicted.withColumn(
-        "distance", euclidean(vector_to_array("features"), F.get(middle, F.col("cluster"))))
+def first_level(features: DataFrame, candidates=CANDIDATES, iterations: int = MAX_ITERATIONS) -> DataFrame:
+    """Clusters of addresses by traffic profile, with the count of the best silhouette."""
+    points = lloyd.group_points(features, FLOW_FEATURES)
+    width = len(FLOW_FEATURES)
+    return lloyd.label(points, lloyd.best_groups(points, width, candidates, iterations), width).drop("parent")
 
 
-def first_level(features: DataFrame, candidates=CANDIDATES) -> DataFrame:
-    """Clusters of addresses by traffic profile, with the count of the best silhouette."""
-    points = _normalised_points(features, FLOW_FEATURES)
-    scored = scores(points, candidates)
-    best = max(scored, key=lambda k: scored[k][0])
-    return _with_distance(scored[best][2], points)
+def first_level_centres(features: DataFrame, candidates=CANDIDATES, iterations: int = MAX_ITERATIONS) -> DataFrame:
+    """(parent, k, centres) that ``first_level`` assigns by; parent is 0."""
+    points = lloyd.group_points(features, FLOW_FEATURES)
+    return lloyd.best_groups(points, len(FLOW_FEATURES), candidates, iterations)
 
 
-def second_level(app_flows: DataFrame, members: DataFrame, candidates=CANDIDATES) -> DataFrame:
+def second_level(
+    app_flows: DataFrame, members: DataFrame, candidates=CANDIDATES, iterations: int = MAX_ITERATIONS,
+) -> DataFrame:
     """Clusters by application profile inside each first-level cluster large enough for one.
 
-    The loop runs over the first-level clusters only; each fit is its own distributed job.
+    All first-level clusters are fitted in the same jobs; each is scaled, and gets its count, by itself.
     """
-    features = subcluster_features(app_flows, members).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["cluster"]: r["size"] for r in cluster_sizes(features).collect()}
-    result = None
-    for parent, size in sorted(sizes.items()):
-        if size <= MIN_GROUP:
-            continue
-        points = _normalised_points(features.where(F.col("cluster") == parent).drop("cluster"), APP_FEATURES)
-        # no more clusters than different points
-        different = points.select(*APP_FEATURES).distinct().limit(max(candidates)).count()
-        if different < 2:
-            level = points.withColumns({"cluster": F.lit(0), "distance": F.lit(0.0)})
-        else:
-            scored = scores(points, sorted({min(k, different) for k in candidates}))
-            best = max(scored, key=lambda k: scored[k][0])
-            level = _with_distance(scored[best][2], points)
-        level = level.withColumn("parent", F.lit(parent))
-        result = level if result is None else result.unionByName(level)
-    if result is None:
-        empty = features.where("false").drop("cluster")
-        blank = assemble(min_max_normalize(empty, APP_FEATURES), [n + "_nor" for n in APP_FEATURES])
-        return blank.withColumns({
-            "cluster": F.lit(0), "distance": F.lit(0.0), "parent": F.lit(0)})
-    return result
+    points = lloyd.group_points(subcluster_features(app_flows, members), APP_FEATURES, "cluster")
+    width = len(APP_FEATURES)
+    return lloyd.label(points, lloyd.best_groups(points, width, candidates, iterations), width)
+
+
+def second_level_centres(
+    app_flows: DataFrame, members: DataFrame, candidates=CANDIDATES, iterations: int = MAX_ITERATIONS,
+) -> DataFrame:
+    """(parent, k, centres) that ``second_level`` assigns by."""
+    points = lloyd.group_points(subcluster_features(app_flows, members), APP_FEATURES, "cluster")
+    return lloyd.best_groups(points, len(APP_FEATURES), candidates, iterations)
 
 
 def best_by_cost(points: DataFrame, most: int) -> tuple[int, KMeansModel]:
@@ -110,11 +73,12 @@ def best_by_cost(points: DataFrame, most: int) -> tuple[int, KMeansModel]:
     return best, scored[best]
 
 
-def silhouette_table(features: DataFrame, candidates) -> DataFrame:
+def silhouette_table(features: DataFrame, candidates, iterations: int = MAX_ITERATIONS) -> DataFrame:
     """Silhouette and cost of every candidate count."""
-    points = _normalised_points(features, FLOW_FEATURES)
-    rows = [(k, float(s), float(cost)) for k, (s, cost, _) in scores(points, candidates).items()]
-    return features.sparkSession.createDataFrame(rows, "k int, silhouette double, cost double")
+    points = lloyd.group_points(features, FLOW_FEATURES)
+    width = len(FLOW_FEATURES)
+    state = lloyd.fit_groups(points, width, candidates, iterations)
+    return lloyd.group_scores(points, state, width).select("k", "silhouette", "cost")
 
 
 def point_rows(points: DataFrame, names: list[str], batch: str, time: str) -> DataFrame:
@@ -137,3 +101,17 @@ def centre_rows(
     return spark.createDataFrame(
         rows, "center_index string, center_info string, clno string, type int, cltime string, demo string,"
               " center_index_p string, clno_p string")
+
+
+def centre_docs(
+    state: DataFrame, names: list[str], batch: str, time: str, level: int, parent_batch: str | None = None,
+) -> DataFrame:
+    """Stored form of (parent, k, centres): a row per centre; only level 2 names its parent and batch."""
+    rows = state.select("parent", F.posexplode("centres").alias("at", "centre"))
+    parent = F.col("parent").cast("string") if level > 1 else F.lit(None).cast("string")
+    return rows.select(
+        F.col("at").cast("string").alias("center_index"),
+        F.array_join(F.transform("centre", lambda x: x.cast("string")), "#").alias("center_info"),
+        F.lit(batch).alias("clno"), F.lit(level).alias("type"), F.lit(time).alias("cltime"),
+        F.lit("#".join(names)).alias("demo"), parent.alias("center_index_p"),
+        F.lit(parent_batch).cast("string").alias("clno_p"))

@@ -319,6 +319,82 @@ select p.ip, p.cluster, round(sqrt({_DISTANCE_SUM}), 6) as distance,
 from points p join centres c on c.cluster = p.cluster"""
 
 
+def _scaled(source: str, parent: str, names: list[str]) -> str:
+    """(parent, ip, x): features scaled to 0..1 inside each parent."""
+    each = ", ".join(
+        f"""coalesce((cast({n} as double) - cast(min({n}) over w as double))
+    / nullif(cast(max({n}) over w as double) - cast(min({n}) over w as double), 0), 0.0)""" for n in names)
+    return f"select {parent} as parent, ip, [{each}] as x from ({source}) window w as (partition by {parent})"
+
+
+def _kmeans(points: str, width: int, counts: list[int]) -> str:
+    """CTEs ``best`` (parent, k, centres), ``scored`` and ``labelled``: farthest-first centres, then means until none moves."""
+    to = lambda x, c: "list_transform(" + c + ", lambda c: 0.0 + " + " + ".join(
+        f"({x}[{i}] - c[{i}]) * ({x}[{i}] - c[{i}])" for i in range(1, width + 1)) + ")"
+    pair = " + ".join(f"(p.x[{i}] - q.x[{i}]) * (p.x[{i}] - q.x[{i}])" for i in range(1, width + 1))
+    means = ", ".join(f"round(avg(x[{i}]), 9)" for i in range(1, width + 1))
+    return f"""with recursive points as materialized ({points}),
+seeds(parent, centres) as (
+  select parent, [max(x)] from points group by parent
+  union all
+  select parent, list_append(centres, far.x) from (
+    select s.parent, any_value(s.centres) as centres, max({{'d': list_min({to('p.x', 's.centres')}), 'x': p.x}}) as far
+    from seeds s join points p on p.parent = s.parent where len(s.centres) < {max(counts)} group by s.parent)
+  where far.d > 0),
+longest as materialized (select parent, arg_max(centres, len(centres)) as centres from seeds group by parent),
+steps(parent, k, step, centres, moving) as (
+  select parent, k, 0, centres[1:k], true from longest, (select unnest({counts}) as k)
+  union all
+  select parent, k, step + 1, renewed, renewed <> centres from (
+    select s.parent, s.k, s.step, s.centres, list(coalesce(m.mean, s.centres[s.i]) order by s.i) as renewed
+    from (select parent, k, step, centres, unnest(range(1, len(centres) + 1)) as i
+          from steps where moving and step < 100) s
+    left join (
+      select parent, k, i, [{means}] as mean from (
+        select p.parent, t.k, p.x, list_position(t.ds, list_min(t.ds)) as i from (
+          select s.parent, s.k, p.ip, {to('p.x', 's.centres')} as ds
+          from steps s join points p on p.parent = s.parent where s.moving and s.step < 100) t
+        join points p on p.parent = t.parent and p.ip = t.ip)
+      group by parent, k, i) m on m.parent = s.parent and m.k = s.k and m.i = s.i
+    group by s.parent, s.k, s.step, s.centres)),
+fitted as materialized (select parent, k, arg_max(centres, step) as centres from steps group by parent, k),
+every as materialized (
+  select parent, ip, k, x, list_position(ds, list_min(ds)) - 1 as cluster, list_min(ds) as square from (
+    select p.parent, p.ip, p.x, f.k, {to('p.x', 'f.centres')} as ds from points p join fitted f on f.parent = p.parent)),
+away as (
+  select p.parent, p.k, p.ip, p.cluster, q.cluster as other, sum({pair}) as total, count(*) as n
+  from every p join every q on q.parent = p.parent and q.k = p.k group by all),
+sides as (
+  select parent, k, ip, max(n) filter (other = cluster) as n,
+    max(total / nullif(n - 1, 0)) filter (other = cluster) as a, min(total / n) filter (other <> cluster) as b
+  from away group by parent, k, ip),
+scored as materialized (
+  select s.parent, s.k, avg(case when n = 1 or b is null then 0 else coalesce((b - a) / nullif(greatest(a, b), 0), 0) end) as silhouette,
+    any_value(c.cost) as cost
+  from sides s join (select parent, k, sum(square) as cost from every group by parent, k) c on c.parent = s.parent and c.k = s.k
+  group by s.parent, s.k),
+best as (
+  select f.* from fitted f join (select parent, arg_max(k, [round(silhouette, 9), -k]) as k from scored group by parent) b
+  on b.parent = f.parent and b.k = f.k),
+labelled as (
+  select e.parent, e.ip, e.k, cast(e.cluster as integer) as cluster, round(sqrt(e.square), 6) as distance
+  from every e join best b on b.parent = e.parent and b.k = e.k)"""
+
+
+_APP_FEATURES = ["QQ", "FTP", "HTTP", "TELNET", "DBAudit", "bd_local_trojan", "GET", "POST"]
+_POINTS = _scaled(f"select * from {_PROFILE}", "0", _FEATURES)
+_POINTS_2 = _scaled(_SUBCLUSTER, "cluster", _APP_FEATURES)
+_STAMP = "2024-01-01 00:00:00"
+
+
+def _centre_rows(level: int, names: list[str]) -> str:
+    return f"""select cast(i - 1 as varchar) as center_index,
+    array_to_string(list_transform(centres[i], lambda x: cast(cast(round(x * 1000000) as bigint) as varchar)), '#') as center_info,
+    'batch-{level}' as clno, {level} as type, '{_STAMP}' as cltime, '{"#".join(names)}' as demo,
+    {"cast(parent as varchar)" if level > 1 else _NULL} as center_index_p, {"'batch-1'" if level > 1 else _NULL} as clno_p
+  from (select *, unnest(range(1, len(centres) + 1)) as i from best)"""
+
+
 def _tokens(name: str) -> str:
     chars = f"list_transform(string_split({name}, ''), lambda c: 'socos' || lower(printf('%x', unicode(c))))"
     return f"case when trim({name}) <> '' then array_to_string({chars}, '') else '' end"
@@ -450,6 +526,15 @@ select md5('flow|' || source || '|' || position) as record_id, srcip, dstip, byt
         "flow_index_lookup": f"""select * from {_f('keyed_flow')} where rowkey in (select rowkey from {_f('flow_index')}
   where record_time between timestamp '1996-01-01' and timestamp '1996-12-31')""",
         "asset_distance": _DISTANCE,
+        "asset_kmeans": f"{_kmeans(_POINTS, 7, [5])} select ip, cluster, distance from labelled",
+        "asset_kmeans_l2": f"{_kmeans(_POINTS_2, 8, [2, 3, 5])} select parent, ip, k, cluster, distance from labelled",
+        "asset_silhouette": f"{_kmeans(_POINTS, 7, [3, 4, 5])} select k, round(silhouette, 6) as silhouette, round(cost, 6) as cost from scored",
+        "stored_cluster_point": f"""{_kmeans(_POINTS, 7, [5])}
+  select 'batch-1' as clno, l.ip as name, cast(cluster as varchar) as center_index, distance,
+    concat_ws('#', {', '.join(f'p.{n}' for n in _FEATURES)}) as center_info, '{_STAMP}' as cltime, '{"#".join(_FEATURES)}' as demo
+  from labelled l join {_PROFILE} p on p.ip = l.ip""",
+        "stored_cluster_centre": f"""select * from ({_kmeans(_POINTS, 7, [5])} {_centre_rows(1, _FEATURES)})
+  union all select * from ({_kmeans(_POINTS_2, 8, [2, 3, 5])} {_centre_rows(2, _APP_FEATURES)})""",
         "asset_cluster_sizes": f"select cluster, count(*) as size from {_CLUSTERED} group by cluster",
         "rules_log_regex": f"""select r.*, l.device_ip from {_f('store_regex')} r right join (
     select lib.log_rule_lib_id, ne.device_ip from {_f('store_lib')} lib join (

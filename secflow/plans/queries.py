@@ -335,22 +335,50 @@ def asset_cluster_sizes(spark, sf_dir):
     return profile.cluster_sizes(_clustered(spark, sf_dir)[0])
 
 
+def _profiles(spark, sf_dir):
+    return profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES)
+
+
+def _app_groups(spark, sf_dir):
+    return frame(spark, sf_dir, "app_flow"), frame(spark, sf_dir, "flow_cluster")
+
+
 @query
 def asset_kmeans(spark, sf_dir):
-    features = profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES)
-    return clusters.first_level(features).select("ip", "cluster", F.round("distance", 6).alias("distance"))
+    return _rounded(clusters.first_level(_profiles(spark, sf_dir)), ["distance"]).select("ip", "cluster", "distance")
 
 
 @query
 def asset_kmeans_l2(spark, sf_dir):
-    level = clusters.second_level(frame(spark, sf_dir, "app_flow"), frame(spark, sf_dir, "flow_cluster"))
-    return level.select("parent", "ip", "cluster", F.round("distance", 6).alias("distance"))
+    """The count is chosen for each first-level cluster among several."""
+    level = clusters.second_level(*_app_groups(spark, sf_dir), candidates=(2, 3, 5))
+    return _rounded(level, ["distance"]).select("parent", "ip", "k", "cluster", "distance")
 
 
 @query
 def asset_silhouette(spark, sf_dir):
-    features = profile.flow_profile(frame(spark, sf_dir, "netflow"), MONITORED_PREFIXES)
-    return clusters.silhouette_table(features, range(3, 6))
+    return _rounded(clusters.silhouette_table(_profiles(spark, sf_dir), range(3, 6)), ["silhouette", "cost"])
+
+
+@query
+def stored_cluster_point(spark, sf_dir):
+    rows = clusters.point_rows(
+        clusters.first_level(_profiles(spark, sf_dir)), profile.FLOW_FEATURES, "batch-1", "2024-01-01 00:00:00")
+    return _rounded(rows, ["distance"])
+
+
+@query
+def stored_cluster_centre(spark, sf_dir):
+    """Centres of both levels; their numbers are compared as millionths."""
+    stamp = "2024-01-01 00:00:00"
+    first = clusters.centre_docs(
+        clusters.first_level_centres(_profiles(spark, sf_dir)), profile.FLOW_FEATURES, "batch-1", stamp, 1)
+    second = clusters.centre_docs(
+        clusters.second_level_centres(*_app_groups(spark, sf_dir), candidates=(2, 3, 5)), profile.APP_FEATURES,
+        "batch-2", stamp, 2, "batch-1")
+    millionths = F.transform(
+        F.split("center_info", "#"), lambda x: F.round(x.cast("double") * 1_000_000).cast("long").cast("string"))
+    return first.unionByName(second).withColumn("center_info", F.array_join(millionths, "#"))
 
 
 # --- rules --------------------------------------------------------------------------------------
