@@ -1,9 +1,8 @@
 """Raw logs to general logs through a regex rule base; the first matching rule in order wins.
 
-Rules are applied inside the scan: no shuffle and no row per (log, rule) pair. A rule base of
-ordinary size becomes one CASE per device with literal patterns, so each pattern compiles once,
-evaluation stops at the first match, and one replace yields every capture. A larger one travels as
-an ordered array of rules per device address.
+Rules are applied inside the scan: no shuffle and no row per (log, rule) pair. A rule base
+travels as an ordered array per device address, or, if it holds for every device, as an index of
+the text that its rules require; evaluation stops at the first match, and one replace yields every capture.
 """
 
 from __future__ import annotations
@@ -15,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from secflow.functions.groups import MARK, compile_pattern
+from secflow.functions.literals import BUCKETS, GRAMS, gram_index, required_literals
 from secflow.functions.text import blank_to_null, stable_id
-from secflow.plans.physical import broadcast_if_bounded, collect_to_compile, evaluated_once
+from secflow.plans.physical import broadcast_if_bounded, collect_bounded, collect_to_compile, evaluated_once
 from secflow.schemas import CAPTURES, GENERAL_FIELDS, USER_GENERAL_FIELDS
 
 _RULE_CONSTANTS = ["log_rule_id", "event_def_id", "event_level", "report_ne_type", "event_id"]
@@ -24,6 +24,17 @@ _HIT = "struct<rule_ord:bigint," + "".join(f"{c}:string," for c in _RULE_CONSTAN
 _RULE = "struct<rule_ord:bigint,regex:string,idx:array<int>," + ",".join(f"{c}:string" for c in _RULE_CONSTANTS) + ">"
 _COMPILED = "struct<regex:string,whole:string,template:string,idx:array<int>,group_count:int>"
 _ORDER = ("rule_ord", *_RULE_CONSTANTS, "regex")
+_INDEXED = "struct<rule_ord:bigint,regex:string,whole:string,template:string,literal:string,idx:array<int>," + ",".join(
+    f"{c}:string" for c in _RULE_CONSTANTS) + ">"
+#: A rule base for every device is indexed up to this size; a larger one is tried in order.
+INDEX_RULES = 50_000
+INDEX_BYTES = 32 * 1024 * 1024
+
+
+def _ordered(rules: list) -> list:
+    """Rules as the array form orders them: nulls first, then by every column in turn."""
+    key = lambda r: [(r[c] is not None, r[c]) if r[c] is not None else (False,) for c in _ORDER]
+    return sorted(rules, key=key)
 
 
 def _rule_columns(rules: DataFrame, device_scoped: bool) -> DataFrame:
@@ -57,9 +68,7 @@ def _hit(rule: str, captures: Column) -> Column:
 
 def _compiled_match(logs: DataFrame, rules: list, device_scoped: bool) -> DataFrame:
     content = F.col("content")
-    # ties as the array form orders them: nulls first, then by every column in turn
-    order = lambda r: [(r[c] is not None, r[c]) if r[c] is not None else (False,) for c in _ORDER]
-    compiled = [(r, compile_pattern(r.regex)) for r in sorted(rules, key=order)]
+    compiled = [(r, compile_pattern(r.regex)) for r in _ordered(rules)]
     compiled = [(r, p) for r, p in compiled if p.count > 0]
     if not compiled:
         return logs.withColumn("hit", F.lit(None).cast(_HIT))
@@ -108,17 +117,60 @@ def _array_match(logs: DataFrame, rules: DataFrame, device_scoped: bool) -> Data
     return matched.withColumn("hit", _hit("rule", _captures(content, one_pass, "rule"))).drop("rule")
 
 
+def candidate_rules(content: Column, table: list[list[int]], literals: list[str]) -> Column:
+    """Places, ascending, of the rules whose gram a text holds, and of those without one.
+
+    The text's grams are looked up in a constant table, so the work follows the text and its hits, not
+    the number of rules.
+    """
+    held = F.from_json(F.lit(json.dumps(table)), "array<array<int>>")
+    always = F.from_json(F.lit(json.dumps([k for k, t in enumerate(literals) if not t])), "array<int>")
+    grams = F.array_distinct(F.regexp_extract_all(content, F.lit(GRAMS), F.lit(1)))
+    found = F.flatten(F.transform(grams, lambda g: F.get(held, F.pmod(F.crc32(g), F.lit(BUCKETS)).cast("int"))))
+    return F.array_sort(F.array_distinct(F.concat(always, found)))
+
+
+def _indexed_match(logs: DataFrame, rules: list) -> DataFrame:
+    content = F.col("content")
+    compiled = [(r, compile_pattern(r.regex)) for r in _ordered(rules)]
+    compiled = [(r, p) for r, p in compiled if p.count > 0]
+    if not compiled:
+        return logs.withColumn("hit", F.lit(None).cast(_HIT))
+    index, literals = gram_index([required_literals(p.regex) for _, p in compiled])
+    table = [{
+        "rule_ord": r.rule_ord, "regex": p.regex, "whole": p.whole, "template": p.template, "literal": t,
+        "idx": p.indexes, **{c: r[c] for c in _RULE_CONSTANTS}} for (r, p), t in zip(compiled, literals, strict=True)]
+    constants = F.from_json(F.lit(json.dumps(table)), f"array<{_INDEXED}>")
+
+    def holds(k: Column) -> Column:
+        rule = F.get(constants, k)
+        return F.contains(content, rule["literal"]) & F.rlike(content, rule["regex"])
+
+    # later rules are not tried once one has matched
+    place = F.aggregate(
+        candidate_rules(content, index, literals), F.lit(-1),
+        lambda found, k: F.when(found >= 0, found).when(holds(k), k).otherwise(found))
+    matched = evaluated_once(logs, "rule_no", place).withColumn("rule", F.get(constants, F.col("rule_no")))
+    one_pass = F.split(F.regexp_replace(content, F.col("rule.whole"), F.col("rule.template")), MARK)
+    return matched.withColumn("hit", _hit("rule", _captures(content, one_pass, "rule"))).drop("rule_no", "rule")
+
+
 def match_rules(
     logs: DataFrame, rules: DataFrame, device_scoped: bool = True, compile_rows: int = 0
 ) -> DataFrame:
     """Raw logs plus a ``hit`` struct: the first matching rule and its captures, all NULL for no match.
 
-    Rules with one order number follow their other columns. Rule bases of any size travel as an
-    ordered array per device; ``compile_rows`` asks for literals in the plan instead, for at most so
-    many rules, with the same result.
+    Rules with one order number follow their other columns. Rules of devices travel as an ordered
+    array per device. Rules for every device are indexed by text that their matches must contain, and
+    only rules whose text a log holds are tried; a base beyond the index's bounds travels as an array
+    too. ``compile_rows`` asks for literals in the plan instead, for at most so many rules. The result
+    is the same.
     """
     rules = _rule_columns(rules, device_scoped)
     if not compile_rows:
+        few = None if device_scoped else collect_bounded(rules, INDEX_RULES)
+        if few is not None and sum(len(r.regex) for r in few) <= INDEX_BYTES:
+            return _indexed_match(logs, few)
         return _array_match(logs, rules, device_scoped)
     return _compiled_match(logs, collect_to_compile(rules, compile_rows), device_scoped)
 

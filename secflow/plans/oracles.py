@@ -419,6 +419,7 @@ def _named(name: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    kind = "(case when k % 50 = 49 then 3 else k % 3 end)"
     lines = _LINE.format(lines=_f("raw_line"))
     general_doc = {
         "firstrecvtime": "epoch_us(first_recv_time) // 1000", "recordid": "record_id", "reportapp": "report_app",
@@ -446,6 +447,20 @@ def oracle_sql() -> dict[str, str]:
   cast(case when m.log_rule_id is null then 1 else 0 end as integer) as is_match
   from {_f('raw_log')} l left join {_matched(LOG_RULES, True)} m on m.log_id = l.log_id""",
         "log_normalize_user": f"select * from {_general(USER_LOG_RULES, True)}",
+        "log_normalize_user_large": f"""with rules as materialized (select c_custkey as k, case when c_custkey % 50 = 49 then ''
+      when c_custkey % 3 = 0 then 'src=192.168.' || c_custkey % 16 || '.' || c_custkey % 256 || ':'
+      when c_custkey % 3 = 1 then 'dst=221.176.' || 64 + c_custkey % 18 || '.' || c_custkey % 256 || ':'
+      else ':' || 1024 + c_custkey % 1000 || ' dst=' end as part from customer),
+  logs as materialized (select log_id, content, regexp_extract(content, 'va.=([0-9][0-9][0-9])$', 1) as three from {_f('raw_log')}),
+  firsts as (select log_id, content, three, min(k) as k from logs join rules on contains(content, part)
+    where part <> '' or three <> '' group by log_id, content, three)
+  select md5('general|' || log_id) as record_id, 'u' || k as log_rule_id, 'd' || k % 7 as event_def_id,
+    case when {kind} = 2 then regexp_extract(content, '([a-z]+) src=', 1) end as event_name,
+    case when {kind} = 2 then regexp_extract(content, 'src=([0-9.]+):', 1) end as source_ip,
+    case when {kind} = 0 then regexp_extract(content, 'src=[0-9.]+:([0-9]+)', 1) end as source_port,
+    case when {kind} = 1 then regexp_extract(content, 'dst=[0-9.]+:([0-9]+)', 1) end as dest_port,
+    case when {kind} = 3 then three end as get_parameter
+  from firsts""",
         "event_name_tokens": f"select p_partkey, {_tokens('event_name')} as event_name2 from {_f('event_name')}",
         "token_dedup": f"select distinct unnest(string_split(value, ',')) as token from {_f('condition_text')}",
         "log_query": f"""select log_id, report_ip, report_app from {_f('raw_log')}

@@ -64,6 +64,15 @@ def log_normalize_user(spark, sf_dir):
         frame(spark, sf_dir, "raw_log"), frame(spark, sf_dir, "user_log_rule"), device_scoped=False)
 
 
+@query
+def log_normalize_user_large(spark, sf_dir):
+    """A rule base that grows with the data, for every device."""
+    general = normalize.normalize(
+        frame(spark, sf_dir, "raw_log"), frame(spark, sf_dir, "user_log_rule_large"), device_scoped=False)
+    return general.select(
+        "record_id", "log_rule_id", "event_def_id", "event_name", "source_ip", "source_port", "dest_port", "get_parameter")
+
+
 @query
 def event_name_tokens(spark, sf_dir):
     return frame(spark, sf_dir, "event_name").select(

@@ -87,6 +87,16 @@ select case
 from (select cast(log_id as bigint) as n, substr(cast(recv_time as string), 1, 19) as at_text, * from {raw_log}) as r""",
     "log_rule": _log_rules(LOG_RULES),
     "user_log_rule": _log_rules(USER_LOG_RULES),
+    # a rule a customer: by source, by destination, by port, and some that name no text
+    "user_log_rule_large": """
+select c_custkey as rule_ord, '' as device_ip,
+  case when c_custkey % 50 = 49 then 'va.=(?<getParameter>[0-9][0-9][0-9])$'
+    when c_custkey % 3 = 0 then concat('src=192[.]168[.]', cast(c_custkey % 16 as string), '[.]', cast(c_custkey % 256 as string), ':(?<sourcePort>[0-9]+)')
+    when c_custkey % 3 = 1 then concat('dst=221[.]176[.]', cast(64 + c_custkey % 18 as string), '[.]', cast(c_custkey % 256 as string), ':(?<destPort>[0-9]+) val=')
+    else concat('(?<eventName>[a-z]+) src=(?<sourceIp>[0-9.]+):', cast(1024 + c_custkey % 1000 as string), ' ') end as log_regex,
+  concat('u', cast(c_custkey as string)) as log_rule_id, concat('d-', cast(c_custkey % 7 as string)) as event_def_id,
+  '3' as event_level, 'app' as report_ne_type, 'er_user' as event_id
+from {customer}""",
     "event_def": _values(
         "rule_ord, event_rule_id, event_rule_name, event_rule_level, begin_value",
         "(1, 'ER-Error ', 'error seen', '4', ' Error ')", "(2, 'er-click', 'click seen', '1', 'CLICK')",
