@@ -5,10 +5,15 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 GRAM = 4  # characters of an index entry; literals shorter than this are not indexed
 BUCKETS = 1 << 14
 #: Every GRAM characters of a text, overlapping; found in one pass.
 GRAMS = rf"(?s)(?=(.{{{GRAM}}}))"
+#: Lengths of the grams by which a joined rule base meets texts; a rule takes the longest that fits.
+JOIN_GRAMS = (GRAM, 2 * GRAM, 4 * GRAM)
 
 _BREAKING = frozenset("dDsSwWhHvVRXbBAGzZtnrfae")  # escapes without arguments that are no plain character
 
@@ -119,3 +124,16 @@ def gram_index(required: list[list[str]]) -> tuple[list[list[int]], list[str]]:
         if gram:
             table[bucket(gram)].append(place)
     return table, literals
+
+
+def join_grams(texts: list[str]) -> list[str]:
+    """Different grams, of the longest length that fits, of the texts a rule requires; none for short texts."""
+    longest = max(map(len, texts), default=0)
+    size = max((n for n in JOIN_GRAMS if n <= longest), default=0)
+    return sorted({t[k:k + size] for t in texts for k in range(len(t) - size + 1)}) if size else []
+
+
+def grams_of(content: Column) -> Column:
+    """Different grams of a text, of every length a joined rule may take."""
+    return F.array_distinct(F.concat(
+        *[F.regexp_extract_all(content, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in JOIN_GRAMS]))

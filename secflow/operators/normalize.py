@@ -2,7 +2,7 @@
 
 Rules are applied inside the scan: no shuffle and no row per (log, rule) pair. A rule base
 travels as an ordered array per device address, or, if it holds for every device, as an index of
-the text that its rules require; evaluation stops at the first match, and one replace yields every capture.
+the text that its rules require (a base too large for an index is joined by that text); evaluation stops at the first match, and one replace yields every capture.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from secflow.functions.groups import MARK, compile_pattern
-from secflow.functions.literals import BUCKETS, GRAMS, gram_index, required_literals
+from secflow.functions.literals import BUCKETS, GRAMS, gram_index, grams_of, join_grams, required_literals
 from secflow.functions.text import blank_to_null, stable_id
-from secflow.plans.physical import broadcast_if_bounded, collect_bounded, collect_to_compile, evaluated_once
+from secflow.plans.physical import (
+    broadcast_if_bounded, checkpointed, collect_bounded, collect_to_compile, evaluated_once)
 from secflow.schemas import CAPTURES, GENERAL_FIELDS, USER_GENERAL_FIELDS
 
 _RULE_CONSTANTS = ["log_rule_id", "event_def_id", "event_level", "report_ne_type", "event_id"]
@@ -26,7 +27,7 @@ _COMPILED = "struct<regex:string,whole:string,template:string,idx:array<int>,gro
 _ORDER = ("rule_ord", *_RULE_CONSTANTS, "regex")
 _INDEXED = "struct<rule_ord:bigint,regex:string,whole:string,template:string,literal:string,idx:array<int>," + ",".join(
     f"{c}:string" for c in _RULE_CONSTANTS) + ">"
-#: A rule base for every device is indexed up to this size; a larger one is tried in order.
+#: A rule base for every device is indexed up to this many different regexes; a larger one is joined.
 INDEX_RULES = 50_000
 INDEX_BYTES = 32 * 1024 * 1024
 
@@ -155,23 +156,63 @@ def _indexed_match(logs: DataFrame, rules: list) -> DataFrame:
     return matched.withColumn("hit", _hit("rule", _captures(content, one_pass, "rule"))).drop("rule_no", "rule")
 
 
+def _first_rules(rules: DataFrame) -> DataFrame:
+    """The first rule of each regex: later ones of the same text match the same logs and never decide."""
+    return rules.groupBy("device", "regex").agg(F.min(F.struct(*_ORDER)).alias("r")).select("device", "r.*")
+
+
+def _joined_match(logs: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rules meet the texts by one gram each, the one that fewest rules share; those without one are tried in order."""
+    content = F.col("content")
+    # on rule rows only, never on logs
+    compiled = rules.withColumn("p", F.udf(_compile, _COMPILED)("regex")).where("p.group_count > 0")
+    grams = F.udf(lambda regex: join_grams(required_literals(regex)), "array<string>")("p.regex")
+    prepared = checkpointed(compiled.select(
+        F.struct("rule_ord", *_RULE_CONSTANTS, "p.regex", "p.whole", "p.template", "p.idx").alias("rule"),
+        grams.alias("grams")))
+    every = prepared.select("rule", F.explode("grams").alias("gram"))
+    least = F.min(F.struct("shared", "gram")).alias("least")
+    chosen = every.join(every.groupBy("gram").agg(F.count("*").alias("shared")), "gram").groupBy("rule").agg(least)
+    keyed = chosen.select(F.col("least.gram").alias("gram"), "rule")
+    # a rule looks at the text only, so a text is tried once
+    texts = logs.select("content").where("content is not null").distinct()
+    found = texts.select("content", F.explode(grams_of(content)).alias("gram")).join(broadcast_if_bounded(keyed), "gram")
+    by_gram = found.where(F.rlike(content, F.col("rule.regex"))).groupBy("content").agg(F.min("rule").alias("by_gram"))
+    others = prepared.where(F.size("grams") == 0).agg(F.array_sort(F.collect_list("rule")).alias("others"))
+    tried = texts.withColumn("others", others.scalar())
+    # later rules are not tried once one has matched
+    place = F.aggregate(
+        F.when(F.size("others") > 0, F.sequence(F.lit(0), F.size("others") - 1)).otherwise(F.array().cast("array<int>")),
+        F.lit(-1), lambda at, k: F.when(at >= 0, at).when(F.rlike(content, F.get("others", k)["regex"]), k).otherwise(at))
+    in_order = evaluated_once(tried, "in_order", F.get("others", place)).where("in_order is not null").select(
+        "content", "in_order")
+    first = by_gram.join(in_order, "content", "full").select(
+        F.col("content").alias("_content"), F.least("by_gram", "in_order").alias("rule"))
+    matched = logs.join(first, content == F.col("_content"), "left").drop("_content")
+    one_pass = F.split(F.regexp_replace(content, F.col("rule.whole"), F.col("rule.template")), MARK)
+    return matched.withColumn("hit", _hit("rule", _captures(content, one_pass, "rule"))).drop("rule")
+
+
 def match_rules(
     logs: DataFrame, rules: DataFrame, device_scoped: bool = True, compile_rows: int = 0
 ) -> DataFrame:
     """Raw logs plus a ``hit`` struct: the first matching rule and its captures, all NULL for no match.
 
     Rules with one order number follow their other columns. Rules of devices travel as an ordered
-    array per device. Rules for every device are indexed by text that their matches must contain, and
-    only rules whose text a log holds are tried; a base beyond the index's bounds travels as an array
-    too. ``compile_rows`` asks for literals in the plan instead, for at most so many rules. The result
-    is the same.
+    array per device. Rules for every device are indexed by text that their matches must contain, one
+    rule a regex, and only rules whose text a log holds are tried; a base beyond the index's bounds is
+    joined with the logs' texts by pieces of that text. ``compile_rows`` asks for literals in the plan
+    instead, for at most so many rules. The result is the same.
     """
     rules = _rule_columns(rules, device_scoped)
     if not compile_rows:
-        few = None if device_scoped else collect_bounded(rules, INDEX_RULES)
+        if device_scoped:
+            return _array_match(logs, rules, device_scoped)
+        rules = _first_rules(rules)
+        few = collect_bounded(rules, INDEX_RULES)
         if few is not None and sum(len(r.regex) for r in few) <= INDEX_BYTES:
             return _indexed_match(logs, few)
-        return _array_match(logs, rules, device_scoped)
+        return _joined_match(logs, rules)
     return _compiled_match(logs, collect_to_compile(rules, compile_rows), device_scoped)
 
 

@@ -87,3 +87,39 @@ def test_few_rules_are_tried(spark):
     assert got.mean < apart + len(known) / 20
     plan = normalize.match_rules(logs, rules, device_scoped=False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_larger_base_than_the_index_is_joined(spark, monkeypatch):
+    """Beyond the index rules meet texts by their grams; none is tried on every log, and the result is the same."""
+    rules = [
+        (3, "late=(?<eventName>[a-z]+)", "r3"), (1, "user[.]one and more (?<sourceIp>[0-9.]+)", "r1"), (2, "(?<eventName>x|y)z", "r2"),
+        (2, "tied=(?<eventName>.*)", "r2a"), (2, "tied=(?<destIp>.*)", "r2b"), (1, " tied=(?<eventName>.*)", "r1b"),
+        (None, "none=(?<eventName>.)", "r0"), (4, "no group here", "r4"), (5, "café \U0001f600 (?<eventName>.+)", "r5"),
+        (6, "(?i)LOUD (?<eventName>.+)", "r6"), (7, None, "r7"), (8, "late=(?<eventName>[a-z]+)", "r8")]
+    table = spark.createDataFrame([(a, "", b, c) for a, b, c in rules], "rule_ord int, device_ip string, log_regex string, log_rule_id string")
+    texts = ["late=abc user.one and more 1.2.3.4", "userXone and more 1.2", "xz", "tied=a", "none=b xz", "no group here", "tied=a",
+             "café \U0001f600 ok", "loud noise", "", None, None, "ab", "late=", "x" * 2_000 + " late=end", "a\u001fb late=q"]
+    logs = spark.createDataFrame([(i % 14, t, "10.0.0.1") for i, t in enumerate(texts)], "log_id int, content string, report_ip string")
+    in_order = normalize._array_match(logs, normalize._rule_columns(table, False), False)
+    key = lambda h: None if h is None or h.captures is None else tuple(h.asDict().items())
+    rows = lambda df: sorted(((r.log_id, r.content, str(key(r.hit))) for r in df.collect()), key=str)
+    expected = rows(in_order)
+    assert rows(normalize.match_rules(logs, table, device_scoped=False)) == expected
+    monkeypatch.setattr(normalize, "INDEX_RULES", 3)
+    monkeypatch.setattr(normalize, "_array_match", None)
+    assert rows(normalize.match_rules(logs, table, device_scoped=False)) == expected
+    short = table.where("log_rule_id in ('r1', 'r3', 'r5', 'r8', 'r2a')")
+    monkeypatch.setattr(normalize, "INDEX_RULES", 0)
+    assert normalize.match_rules(logs, short, device_scoped=False).where("hit.rule_ord is not null").count() == 6
+
+
+def test_rules_of_one_regex_are_one(spark):
+    """A base that repeats its regexes stays in the index; the first rule of each decides."""
+    rules = spark.range(60_000).selectExpr(
+        "cast(60000 - id as int) rule_ord", "'' device_ip", "concat('key=', id % 50, ';(?<eventName>.*)') log_regex",
+        "concat('r', 60000 - id) log_rule_id")
+    logs = spark.createDataFrame([(1, "key=7;a", "x"), (2, "key=51;a", "x")], "log_id int, content string, report_ip string")
+    matched = normalize.match_rules(logs, rules, device_scoped=False)
+    assert [r.hit and r.hit.log_rule_id for r in matched.orderBy("log_id").collect()] == ["r43", None]
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
