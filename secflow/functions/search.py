@@ -11,10 +11,8 @@ def count_at_most(array: str, field: str, value: str) -> Column:
 
     All three are SQL names; a null array or value counts nothing.
     """
-    middle = f"{array}[(s.lo + s.hi) div 2].{field}"
+    # the count grows by falling powers of two; a place behind the end is null and adds nothing
+    highest = f"cast(ceil(log2(coalesce(nullif(size({array}), -1), 0) + 1)) as int)"
     return F.expr(
-        f"aggregate(sequence(1, cast(ceil(log2(coalesce(nullif(size({array}), -1), 0) + 1)) as int) + 1), "
-        f"named_struct('lo', 0, 'hi', coalesce(nullif(size({array}), -1), 0)), "
-        f"(s, k) -> CASE WHEN s.lo >= s.hi THEN s "
-        f"WHEN {middle} <= {value} THEN named_struct('lo', cast((s.lo + s.hi) div 2 + 1 as int), 'hi', s.hi) "
-        f"ELSE named_struct('lo', s.lo, 'hi', cast((s.lo + s.hi) div 2 as int)) END, s -> s.lo)")
+        f"aggregate(sequence({highest}, 0, -1), 0, (n, k) -> "
+        f"IF(get({array}, n + shiftleft(1, k) - 1).{field} <= {value}, n + shiftleft(1, k), n))")

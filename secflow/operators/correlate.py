@@ -288,7 +288,7 @@ def flow_asof(events: DataFrame, stats: DataFrame, ts: str = "open_time", second
     passed = count_at_most("seen", "t", f"`{ts}`")
     found = (
         F.when(_bucket(F.col(ts), seconds) > F.col("_last.bucket"), F.col("_last.stat"))
-        .when(passed > 0, F.get("seen", passed - 1)).otherwise(F.col("earlier")))
+        .otherwise(F.coalesce(F.get("seen", passed - 1), F.col("earlier"))))  # one search; none passed is place -1
     looked_up = evaluated_once(joined, "_stat", found)
     return looked_up.select(
         *events.columns, F.col("_stat.t").alias("stat_time"), F.col("_stat.b").alias("stat_bytes"))

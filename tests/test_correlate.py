@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from secflow.functions.search import count_at_most
 from secflow.operators import alarms, correlate
 from secflow.plans.tables import composite_rules, context, corr_events
 
@@ -207,6 +208,22 @@ def test_asof_leaves_events_in_place(spark):
     assert "BroadcastHashJoin" in body and "hashpartitioning" not in body and "rangepartitioning" not in body
 
 
+def test_asof_searches_once(spark):
+    """An event's bucket is halved once, on a plain number."""
+    seen = correlate.flow_asof(corr_events(spark, SF), context(spark, SF).flow_stats).select("stat_bytes")
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(sequence(") == 1 and "named_struct(lo" not in plan
+
+
+def test_search_in_arrays_of_any_size(spark):
+    """Places of every value in sorted arrays of 0 to 9 numbers, with ties; null arrays and values count nothing."""
+    arrays = [sorted(x // 2 for x in range(n)) for n in range(10)]
+    rows = [([(x,) for x in a], v) for a in arrays for v in range(-1, 6)] + [(None, 1), ([(1,)], None)]
+    df = spark.createDataFrame(rows, "seen array<struct<t:int>>, v int").withColumn("n", count_at_most("seen", "t", "v"))
+    for r in df.collect():
+        assert r.n == (0 if r.seen is None or r.v is None else sum(x.t <= r.v for x in r.seen))
+
+
 def test_leak_lookup_is_one_join(spark):
     flagged = correlate.leak_flags(corr_events(spark, SF), context(spark, SF).scans)
     plan = flagged._jdf.queryExecution().optimizedPlan().toString()
