@@ -196,7 +196,7 @@ def _number(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers in order of first appearance, and the id of each number."""
     values, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
     order = np.argsort(first)
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     return rank[inverse], values[order]
 
@@ -210,15 +210,16 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     steps = len(parts[0])
     numbers, names = zip(*[_number(p) for p in parts], strict=True)
     lanes = len(parts)
-    grid = np.empty((steps, lanes), np.int64)
+    grid = np.empty((steps, lanes), np.int32)
     for k, row in enumerate(numbers):
         grid[:len(row), k] = row
         grid[len(row):, k] = row[-1]
+    del numbers
     model, out = _Model(lanes, steps), _Writer(lanes, steps)
     for step in range(steps):
         if step % EPOCH == 0:
             model.renew(step)
-        number = grid[step]
+        number = grid[step].astype(np.int64)
         model.predict()
         hit_two = model.has_two & (model.two == number + 1)
         hit_one = model.has_one & (model.one == number + 1)
@@ -283,14 +284,14 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
 def _decode_lanes(bodies: list[bytes], steps: int) -> np.ndarray:
     lanes = len(bodies)
     model, source = _Model(lanes, steps), _Reader(bodies)
-    grid = np.empty((steps, lanes), np.int64)
+    grid = np.empty((steps, lanes), np.int32)
     for step in range(steps):
         if step % EPOCH == 0:
             model.renew(step)
             # one sorted array of all lanes' tables: a single search serves every lane
             lift = np.int64(1 << 24)
             columns = model.columns
-            flat = model.table + np.repeat(model.every * lift, columns)
+            flat = (model.table.reshape(lanes, columns) + (model.every * lift)[:, None]).ravel()
         model.predict()
         value, unit = source.look(None, _SHARE_BITS)
         both = model.freq_two + model.freq_one

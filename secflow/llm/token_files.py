@@ -30,11 +30,12 @@ _SEGMENT = (
 
 
 def _segment(part: int, seg: int, start: int, doc_ids: list, streams: list[bytes]) -> pa.RecordBatch:
-    ids = np.frombuffer(b"".join(streams), "<u4")
+    ids, lengths = np.frombuffer(b"".join(streams), "<u4"), [len(s) // 4 for s in streams]
+    streams.clear()  # coding needs the room
     columns = [
         pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([start], pa.int64()),
         pa.array([len(ids)], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())),
-        pa.array([[len(s) // 4 for s in streams]], pa.list_(pa.int64())),
+        pa.array([lengths], pa.list_(pa.int64())),
         pa.array([encode_blocks(ids, BLOCK)], pa.list_(pa.binary()))]
     return pa.RecordBatch.from_arrays(
         columns, names=["part", "seg", "seg_start", "n_ids", "doc_ids", "n_tokens", "blocks"])
