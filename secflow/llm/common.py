@@ -41,6 +41,11 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def text_hash() -> Column:
+    """64 bits that, beside the id, name a row by its text in tables that do not hold the texts."""
+    return F.coalesce(F.xxhash64("text"), F.lit(0))
+
+
 def bucket_of(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from secflow.llm.common import bucket_of, hand_back, per_process, stored
+from secflow.llm.common import bucket_of, hand_back, per_process, stored, text_hash
 
 ORDER = 3
 CLASS_BITS = 7
@@ -167,11 +167,8 @@ def train(counts) -> Models:
     return Models(langs, grams, logp, lower, backoff, places)
 
 
-def scored(docs: DataFrame, models: Models, with_text: bool = False) -> DataFrame:
-    """doc_id, best (language or ``und``), entropy (nats per character), gap to the next, n (characters), others.
-
-    ``with_text`` returns the text too, which passes through the workers once.
-    """
+def scored(docs: DataFrame, models: Models) -> DataFrame:
+    """doc_id, best (language or ``und``), entropy (nats per character), gap to the next, n (characters), others."""
     # plain values: broadcasts, unlike functions, do not carry the code of classes
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(models).values()))
 
@@ -194,7 +191,7 @@ def scored(docs: DataFrame, models: Models, with_text: bool = False) -> DataFram
                 entropy.append(float(cost[order[0]]))
                 gap.append(float(cost[order[1]] - cost[order[0]]) if len(order) > 1 else None)
                 length.append(n)
-            carried = [k for k in range(batch.num_columns) if k != 1 or with_text]
+            carried = [k for k in range(batch.num_columns) if k != 1]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(k) for k in carried], pa.array(best, pa.string()),
                  pa.array(entropy, pa.float64()), pa.array(gap, pa.float64()), pa.array(length, pa.int64())],
@@ -203,30 +200,26 @@ def scored(docs: DataFrame, models: Models, with_text: bool = False) -> DataFram
     names = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *names)
     fields = [f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names]
-    fields = ["text string", *fields] if with_text else fields
     schema = ", ".join(["doc_id long", *fields, "best string", "entropy double", "gap double", "n long"])
     return rows.mapInArrow(score, schema)
 
 
-def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, keep_columns: bool = False) -> DataFrame:
+def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, with_hash: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected of every row.
 
     Rows whose crc32(doc_id) modulo ``folds`` is ``held_out`` are not learnt from. A null text or one
     without a letter is ``und`` with score 0 and rejected; without training rows all are. ``score``
     is the share of the best language between the best two, as exp(-n * gap) with n at most 20.
-    A null id counts as the empty string in the crc; equal rows get equal results. ``keep_columns``
-    adds the documents' columns, for filtering.
+    A null id counts as the empty string in the crc; equal rows get equal results. ``with_hash`` adds
+    ``th``, the ``text_hash`` by which a caller finds the rows again: whole texts are not stored.
     """
     spark = docs.sparkSession
     fold = (bucket_of(F.col("doc_id"), folds) == held_out).alias("held_out")
     counts = ngram_counts(docs.where(~fold)).toPandas()
     models = train(counts)
     base = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    others = {c: f"_c_{k}" for k, c in enumerate(docs.columns) if c != "text"} if keep_columns else {}
-    extra = [F.col(f"`{c}`").alias(n) for c, n in others.items()]
-    rows = base.select("doc_id", "text", fold, F.col("lang").alias("_lang"), *extra)
-    result = scored(rows, models, with_text=keep_columns)
-    result = stored(result, "languages")
+    more = [text_hash().alias("th")] if with_hash else []
+    result = stored(scored(base.select("doc_id", "text", fold, F.col("lang").alias("_lang"), *more), models), "languages")
     trained = result.where(~F.col("held_out") & (F.col("_lang") == F.col("best")) & (F.col("n") >= 20))
     root = F.sqrt("n")
     levels = trained.groupBy("best").agg(
@@ -240,7 +233,6 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, keep_columns: b
     score = F.when(unknown, 0.0).otherwise(
         1 / (1 + F.exp(-F.least("n", F.lit(20)) * F.coalesce("gap", F.lit(50.0)))))
     rejected = unknown | F.coalesce(F.col("entropy") > limit, F.lit(False))
-    if keep_columns:
-        return result.select(rejected.alias("rejected"), *[F.col(others.get(c, c)).alias(c) for c in docs.columns])
     return result.select(
-        "doc_id", "held_out", F.col("best").alias("lang_pred"), score.alias("score"), rejected.alias("rejected"))
+        "doc_id", "held_out", F.col("best").alias("lang_pred"), score.alias("score"), rejected.alias("rejected"),
+        *(["th"] if with_hash else []))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secflow.llm import decontamination, language, mixing, near_duplicates, token_files
-from secflow.llm.common import shared_path, stored, table
+from secflow.llm.common import shared_path, stored, table, text_hash
 from secflow.llm.queries import BYTE_BPE
 from secflow.plans.physical import broadcast_if_bounded
 
@@ -37,10 +37,19 @@ def _shielded(stage: Stage) -> Stage:
     return run
 
 
+def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """The rows whose id and text hash are not in ``bad`` (doc_id, th)."""
+    bad = broadcast_if_bounded(bad.withColumnsRenamed({"doc_id": "_id", "th": "_th"}))
+    named = docs.withColumn("_h", text_hash())
+    kept = named.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left_anti")
+    return kept.select(*docs.columns)
+
+
 @_shielded
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; null texts, texts without a letter and rejected ones go."""
-    return language.identify(docs, keep_columns=True).where(~F.col("rejected")).select(*docs.columns)
+    found = language.identify(docs, with_hash=True)
+    return _without(docs, found.where("rejected").select("doc_id", "th").distinct())
 
 
 @_shielded
@@ -54,10 +63,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that are not contaminated; null and empty texts stay, repeated rows share a verdict."""
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
     bad = stored(found.where("contaminated").select("doc_id", "th").distinct(), "contaminated")
-    bad = broadcast_if_bounded(bad.withColumnsRenamed({"doc_id": "_id", "th": "_th"}))
-    named = docs.withColumn("_h", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    kept = named.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left_anti")
-    return kept.select(*docs.columns)
+    return _without(docs, bad)
 
 
 @_shielded

@@ -6,12 +6,13 @@ from collections import Counter
 import corpus_pipeline
 import duckdb
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from fixtures import SF
 from tokenizers import Tokenizer
 
 from secflow.llm import near_duplicates, queries
-from secflow.llm.common import table
+from secflow.llm.common import shared_path, table
 
 
 def test_stages(spark):
@@ -33,6 +34,21 @@ def test_stages(spark):
         (r.doc_id, r.n_tokens, r.ids_crc32) for r in got)
 
 
+def test_language_stage_stores_no_texts(spark):
+    rows = [(k, " ".join(f"word{k}x{j}" for j in range(400)) if k % 7 else None, "en", "s", 1) for k in range(60)]
+    docs = spark.createDataFrame(rows + rows[:9], "doc_id long, text string, lang string, source string, n_chars long")
+    known = dict(corpus_pipeline.STAGES)["language"]
+    shared_path(spark, "any")  # sets the folder
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    kept = known(spark, docs, SF)
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in rows + rows[:9] if r[1])
+    assert known(spark, docs.where("false"), SF).count() == 0
+    new = [os.path.join(top, f) for d in set(os.listdir(folder)) - before
+           for top, _, names in os.walk(os.path.join(folder, d)) for f in names if f.endswith(".parquet")]
+    assert new and not any("text" in pq.read_schema(f).names for f in new)
+
+
 def _rows(df):
     """Rows as text; whole numbers and nulls look alike whatever type the engine gave the column."""
     def text(v):
