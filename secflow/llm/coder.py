@@ -22,9 +22,11 @@ EPOCH = 256  # steps between two renewals of the order-0 table
 MAGIC = b"SFT1"
 
 _HASH = 4096  # places of the order-2 table, a power of two
+_TABLED = 1 << 20  # ids below are renamed through a table of all of them
 _SHARE_BITS = 16
 _LOW_BITS = 48
 _U16, _U32 = np.uint64(16), np.uint64(32)
+_SHARE, _ALL = np.uint32(_SHARE_BITS), np.uint32(1 << _SHARE_BITS)
 _LOW_MAX, _WIDTH_MAX = np.uint64((1 << _LOW_BITS) - 1), np.uint64((1 << 32) - 1)
 _HEAD = "<4sBxHIIIII"  # magic, bytes per id, epoch, ids, steps, different ids, body crc32, ids crc32
 
@@ -54,15 +56,15 @@ class _Writer:
         unit = wide >> np.uint64(unit_bits) if total is None else wide // total
         low = low + start * unit
         width = freq * unit
-        over = low > _LOW_MAX
-        if over.any():
+        over = (low > _LOW_MAX).nonzero()[0]
+        if over.size:
             low &= _LOW_MAX
-            carry, back = np.flatnonzero(over) if lanes is None else lanes[over], 1
+            carry, back = over if lanes is None else lanes[over], 1
             while carry.size:
                 place = self.at[carry] - back
                 self.words[place] += np.uint16(1)
                 carry, back = carry[self.words[place] == 0], back + 1
-        small = np.flatnonzero(width <= _WIDTH_MAX)
+        small = (width <= _WIDTH_MAX).nonzero()[0]
         if small.size:
             moved = low[small]
             self._emit(small if lanes is None else lanes[small], moved)
@@ -104,7 +106,7 @@ class _Reader:
     def take(self, lanes: np.ndarray | None, unit: np.ndarray, start, freq) -> None:
         code = (self.code if lanes is None else self.code[lanes]) - start * unit
         width = freq * unit
-        small = np.flatnonzero(width <= _WIDTH_MAX)
+        small = (width <= _WIDTH_MAX).nonzero()[0]
         if small.size:
             who = small if lanes is None else lanes[small]
             at = self.at[who]
@@ -123,66 +125,70 @@ class _Model:
 
     def __init__(self, lanes: int, steps: int):
         self.every = np.arange(lanes)
-        self.width = steps + 1
         self.after_one = np.zeros(lanes * (steps + 1), np.uint16)
         self.after_two = np.zeros(lanes * _HASH, np.uint16)
-        start = np.array([13000, 26000, 39000, 52000], np.int64)
+        start = np.array([13000, 26000, 39000, 52000], np.int32)
         self.share_one, self.share_two = np.tile(start, lanes), np.tile(start, lanes)
         self.steps = steps
-        self.counts = np.zeros(lanes * steps, np.int32)
+        self.counts = np.zeros(lanes * steps, np.int32 if steps >> 16 else np.uint16)
         self.row = self.every * steps
-        self.row_one, self.row_two, self.row_share = self.every * self.width, self.every * _HASH, self.every * 4
+        self.row_one, self.row_two, self.row_share = self.every * (steps + 1), self.every * _HASH, self.every * 4
         self.before = np.full(lanes, steps, np.int64)  # the number before; ``steps`` stands for none
         self.before_two = np.full(lanes, steps, np.int64)
         self.known = np.zeros(lanes, np.int64)  # different numbers so far
-        self.table = np.zeros(lanes, np.int64)
+        self.table = np.zeros(lanes + 1, np.int32)
         self.columns = 1
         self.tabled = np.zeros(lanes, np.int64)  # numbers in the order-0 table
-        self.total = np.zeros(lanes, np.int64)
+        self.total = 0  # counts in the table, as many in every lane
         self.fresh = np.zeros(lanes, np.int64)  # steps of this epoch that the table could not serve
         self.escape = np.ones(lanes, np.int64)
 
     def renew(self, step: int) -> None:
         """Rebuild the order-0 table; what escaped in the epoch sets the share of later escapes."""
-        width = int(self.known.max(initial=0))
-        table = np.zeros((len(self.every), width + 1), np.int64)
-        np.cumsum(self.counts.reshape(-1, self.steps)[:, :width], axis=1, out=table[:, 1:])
+        lanes, width = len(self.every), int(self.known.max(initial=0))
+        self.columns, self.total = width + 1, step
+        self.table = np.zeros(lanes * self.columns + 1, np.int32)  # one more: the last place has a next one
+        np.cumsum(
+            self.counts.reshape(-1, self.steps)[:, :width], axis=1, out=self.table[:-1].reshape(lanes, -1)[:, 1:])
         self.tabled = self.known.copy()
-        self.total = table[:, -1].copy()
-        self.table, self.columns = table.ravel(), width + 1
         if step:
             served = np.maximum(EPOCH - self.fresh, 1)
             self.escape = np.clip(self.total * self.fresh // served, 1, 50_000)
         self.fresh[:] = 0
 
+    def slots(self) -> np.ndarray:
+        """The number that each value below the total stands for, lane by lane."""
+        width = self.columns - 1
+        numbers = np.tile(np.arange(width, dtype=np.int32 if width >> 16 else np.uint16), len(self.every))
+        return np.repeat(numbers, self.counts.reshape(-1, self.steps)[:, :width].ravel())
+
     def predict(self) -> None:
         hashed = (self.before * 40503 + self.before_two * 30011) & (_HASH - 1)
         self.place_two = self.row_two + hashed
         self.place_one = self.row_one + self.before
-        two, one = self.after_two[self.place_two].astype(np.int64), self.after_one[self.place_one].astype(np.int64)
-        self.two, self.sure_two = two >> 2, two & 3
-        self.one, self.sure_one = one >> 2, one & 3
+        self.state_two, self.state_one = self.after_two[self.place_two], self.after_one[self.place_one]
+        self.two, self.sure_two = self.state_two >> 2, self.state_two & 3
+        self.one, self.sure_one = self.state_one >> 2, self.state_one & 3
         self.bin_two, self.bin_one = self.row_share + self.sure_two, self.row_share + self.sure_one
         self.has_two = self.two > 0
         self.has_one = (self.one > 0) & (self.one != self.two)
-        self.freq_two = np.where(self.has_two, self.share_two[self.bin_two], 0)
-        rest = (1 << _SHARE_BITS) - self.freq_two
-        self.freq_one = np.where(self.has_one, (rest * self.share_one[self.bin_one]) >> _SHARE_BITS, 0)
+        self.held_two, self.held_one = self.share_two[self.bin_two], self.share_one[self.bin_one]
+        self.freq_two = self.held_two.view(np.uint32) * self.has_two
+        rest = _ALL - self.freq_two
+        self.freq_one = ((rest * self.held_one.view(np.uint32)) >> _SHARE) * self.has_one
 
     def learn(self, number: np.ndarray, hit_two: np.ndarray, hit_one: np.ndarray) -> None:
-        for shares, bins, asked, hit in (
-                (self.share_two, self.bin_two, self.has_two, hit_two),
-                (self.share_one, self.bin_one, self.has_one & ~hit_two, hit_one)):
-            old = shares[bins]
-            moved = old + (((hit << _SHARE_BITS) - old) >> 5)
+        for shares, bins, old, asked, hit in (
+                (self.share_two, self.bin_two, self.held_two, self.has_two, hit_two),
+                (self.share_one, self.bin_one, self.held_one, self.has_one & ~hit_two, hit_one)):
+            moved = old + (((hit.astype(np.int32) << _SHARE_BITS) - old) >> 5)
             shares[bins] = np.where(asked, np.minimum(np.maximum(moved, 1024), 61_440), old)
-        name = number + 1
-        for held, place, seen, sure in (
-                (self.after_two, self.place_two, self.two, self.sure_two),
-                (self.after_one, self.place_one, self.one, self.sure_one)):
-            same = seen == name
-            sure_next = np.where(same, np.minimum(sure + 1, 3), np.maximum(sure - 1, 0))
-            held[place] = np.where(same | (sure == 0), name, seen) << 2 | sure_next
+        name = (number + 1).astype(np.uint16)
+        first = name << 2
+        for held, place, state, seen, sure in (
+                (self.after_two, self.place_two, self.state_two, self.two, self.sure_two),
+                (self.after_one, self.place_one, self.state_one, self.one, self.sure_one)):
+            held[place] = np.where(seen == name, state + (sure < 3), np.where(sure == 0, first, state - 1))
         self.counts[self.row + number] += 1
         np.maximum(self.known, name, out=self.known)
         self.before_two, self.before = self.before, number
@@ -192,13 +198,13 @@ def _u(x) -> np.ndarray:
     return np.asarray(x).astype(np.uint64)
 
 
-def _number(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers in order of first appearance, and the id of each number."""
-    values, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-    order = np.argsort(first)
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order))
-    return rank[inverse], values[order]
+def _number(ids: np.ndarray, scratch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in order of first appearance, and the id of each number; ``scratch`` has a place for each id."""
+    places = np.arange(len(ids), dtype=np.int32)
+    scratch[ids[::-1]] = places[::-1]  # the first appearance is written last
+    names = ids[scratch[ids] == places]
+    scratch[names] = places[:len(names)]
+    return scratch[ids], names
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
@@ -208,7 +214,13 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         return []
     parts = [ids[k:k + block] for k in range(0, len(ids), block)]
     steps = len(parts[0])
-    numbers, names = zip(*[_number(p) for p in parts], strict=True)
+    top = int(ids.max())
+    # ids too large for a table of them are told apart by their order
+    values, small = (None, ids) if top < _TABLED else np.unique(ids, return_inverse=True)
+    scratch = np.empty((top if values is None else len(values)) + 1, np.int32)
+    numbers, names = zip(*[_number(small[k:k + block], scratch) for k in range(0, len(ids), block)], strict=True)
+    if values is not None:
+        names = [values[n] for n in names]
     lanes = len(parts)
     grid = np.empty((steps, lanes), np.int32)
     for k, row in enumerate(numbers):
@@ -226,17 +238,16 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         missed = ~(hit_two | hit_one)
         both = model.freq_two + model.freq_one
         start = np.where(hit_two, 0, np.where(hit_one, model.freq_two, both))
-        freq = np.where(hit_two, model.freq_two, np.where(hit_one, model.freq_one, (1 << _SHARE_BITS) - both))
+        freq = np.where(hit_two, model.freq_two, np.where(hit_one, model.freq_one, _ALL - both))
         out.put(None, _u(start), _SHARE_BITS, _u(freq))
-        rest = np.flatnonzero(missed)
+        rest = missed.nonzero()[0]
         if rest.size:
             n = number[rest]
             fresh = n >= model.tabled[rest]
-            total = model.total[rest]
-            col = np.where(fresh, 0, n)
-            place = rest * model.columns + col
+            total = model.total
+            place = rest * model.columns + n * ~fresh
             base = model.table[place]
-            width = model.table[np.minimum(place + 1, len(model.table) - 1)] - base
+            width = model.table[place + 1] - base
             escape = model.escape[rest]
             out.put(rest, _u(np.where(fresh, total, base)), 0, _u(np.where(fresh, escape, width)), _u(total + escape))
             new = rest[fresh]
@@ -288,29 +299,27 @@ def _decode_lanes(bodies: list[bytes], steps: int) -> np.ndarray:
     for step in range(steps):
         if step % EPOCH == 0:
             model.renew(step)
-            # one sorted array of all lanes' tables: a single search serves every lane
-            lift = np.int64(1 << 24)
-            columns = model.columns
-            flat = (model.table.reshape(lanes, columns) + (model.every * lift)[:, None]).ravel()
+            slots = model.slots()
         model.predict()
         value, unit = source.look(None, _SHARE_BITS)
         both = model.freq_two + model.freq_one
         hit_two = value < model.freq_two
         hit_one = ~hit_two & (value < both)
         start = np.where(hit_two, 0, np.where(hit_one, model.freq_two, both))
-        freq = np.where(hit_two, model.freq_two, np.where(hit_one, model.freq_one, (1 << _SHARE_BITS) - both))
+        freq = np.where(hit_two, model.freq_two, np.where(hit_one, model.freq_one, _ALL - both))
         source.take(None, unit, _u(start), _u(freq))
-        number = np.where(hit_two, model.two - 1, model.one - 1)
-        rest = np.flatnonzero(~(hit_two | hit_one))
+        number = np.where(hit_two, model.two, model.one).astype(np.int64) - 1
+        rest = (~(hit_two | hit_one)).nonzero()[0]
         if rest.size:
-            total, escape = model.total[rest], model.escape[rest]
+            total, escape = model.total, model.escape[rest]
             value, unit = source.look(rest, 0, _u(total + escape))
             fresh = value >= total
-            found = np.searchsorted(flat, rest * lift + np.where(fresh, 0, value), side="right") - 1 - rest * columns
-            col = np.where(fresh, 0, found)
-            place = rest * columns + col
+            col = np.zeros(len(rest), np.int64)
+            kept = (~fresh).nonzero()[0]
+            col[kept] = slots[rest[kept] * total + value[kept]]
+            place = rest * model.columns + col
             base = model.table[place]
-            width = model.table[np.minimum(place + 1, len(flat) - 1)] - base
+            width = model.table[place + 1] - base
             source.take(rest, unit, _u(np.where(fresh, total, base)), _u(np.where(fresh, escape, width)))
             new = rest[fresh]
             if new.size:

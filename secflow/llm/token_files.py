@@ -1,7 +1,8 @@
 """Token-id files: documents in id order, encoded, range-coded and written as Parquet rows.
 
 A row is a segment: whole documents in order, with their ids and lengths and the coded blocks of
-``coder``. Segments are bounded by ids, so memory is too, except that a document is never divided.
+``coder``. Segments are bounded by ids, so memory is too, except that a document is never divided;
+the last of a partition is not left small, as few blocks at once are coded slowly.
 Range partitions follow one another in id order; the places of their documents in the whole stream
 are added when reading, from one total per partition. Parquet commits whole files, so a lost
 executor's attempt leaves nothing behind.
@@ -59,7 +60,7 @@ def write_tokens(
         part = TaskContext.get().partitionId()
         doc_ids: list = []
         streams: list[bytes] = []
-        held, seg, start = 0, 0, 0
+        held, seg, start, cut, cut_ids = 0, 0, 0, 0, 0
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
@@ -68,9 +69,15 @@ def write_tokens(
                     doc_ids.append(doc_id)
                     streams.append(stream + end)
                     held += len(streams[-1]) // 4
-                    if held >= segment_ids:
-                        yield _segment(part, seg, start, doc_ids, streams)
-                        start, seg, held, doc_ids, streams = start + held, seg + 1, 0, [], []
+                    if held >= segment_ids and not cut:
+                        cut, cut_ids = len(streams), held
+                    # a segment leaves when at least half a one stays
+                    if cut and len(streams) > cut and held >= cut_ids + segment_ids // 2:
+                        full_ids, full = doc_ids[:cut], streams[:cut]
+                        doc_ids, streams = doc_ids[cut:], streams[cut:]
+                        yield _segment(part, seg, start, full_ids, full)
+                        start, seg, held = start + cut_ids, seg + 1, held - cut_ids
+                        cut, cut_ids = (len(streams), held) if held >= segment_ids else (0, 0)
         if doc_ids:
             yield _segment(part, seg, start, doc_ids, streams)
         doc_ids, streams = [], []

@@ -139,6 +139,39 @@ def test_token_files(spark):
     assert Counter((r.doc_id, tuple(r.ids)) for r in got) == known
 
 
+def test_last_segment_is_not_small(spark):
+    docs = spark.createDataFrame([(k, f"a b c {k}") for k in range(600)], "doc_id long, text string")
+    folder = shared_path(spark, "tokens")
+    token_files.write_tokens(docs, folder, queries.BYTE_BPE, partitions=1)
+    ids = sum(r.n_ids for r in spark.read.parquet(folder).collect())
+    for share, most in ((0.9, 1), (0.3, 3)):
+        folder = shared_path(spark, "tokens")
+        token_files.write_tokens(docs, folder, queries.BYTE_BPE, partitions=1, segment_ids=int(ids * share))
+        sizes = [r.n_ids for r in spark.read.parquet(folder).collect()]
+        assert len(sizes) == most and min(sizes) >= int(ids * share) // 2 and sum(sizes) == ids
+        assert [r.start for r in token_files.read_tokens(spark, folder).orderBy("doc_id").limit(2).collect()][0] == 0
+        assert token_files.read_tokens(spark, folder).count() == 600
+
+
+def test_common_units_stay_known():
+    held = tokens.Vocabulary(queries.BYTE_BPE, ids=True, kept=200)
+    asked = Counter()
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked["common"] += sum(t.count("commonplace") for t in texts)
+            return library.encode_batch_fast(texts, **options)
+
+    library, held.tokenizer = held.tokenizer, Counted()
+    common = [f"commonplace{k}" for k in range(20)]
+    for turn in range(40):
+        texts = [" ".join(["x", *common, *[f"rare{turn}y{k}," for k in range(30)]]), f"a\n{common[0]} it's {common[1]}.", "", "\n b"]
+        expected = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert held.encode_all(texts) == expected
+    assert asked["common"] <= 25
+    assert len(held.after_blank) <= 200
+
+
 # --- mixing ---------------------------------------------------------------------------------------
 
 
